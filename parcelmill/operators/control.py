@@ -61,12 +61,14 @@ def lineage_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r[c] for c in column_names(LINEAGE)) for r in records], LINEAGE).coalesce(1)
 
 
-def batch_counts(classified: DataFrame) -> dict[str, Column]:
-    """Aggregates of one pass over a classified slice, for ``agg`` or ``observe``."""
-    return {
-        "records_read": F.count(F.lit(1)),
-        "records_dlq": F.count_if(F.col("error_reason").isNotNull()),
-    }
+def batch_metrics() -> list[Column]:
+    """Metrics of a classified slice, for ``observe`` on the write that materialises it."""
+    return [
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(F.col("error_reason").isNotNull()).alias("rejected"),
+        F.max("event_time").cast("string").alias("max_event_time"),
+        F.max("kafka_offset").alias("max_offset"),
+    ]
 
 
 def reconcile(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -25,7 +25,3 @@ def last_version(df: DataFrame, keys: list[str], version: str, loaded_at: str) -
     """Replacing read: highest version per key, later load wins on ties."""
     return latest_per_key(df, keys, [F.col(version).desc(), F.col(loaded_at).desc()])
 
-
-def distinct_messages(bronze: DataFrame) -> DataFrame:
-    """Drop messages that were delivered more than once."""
-    return bronze.dropDuplicates(["kafka_topic", "kafka_partition", "kafka_offset"])

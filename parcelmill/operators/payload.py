@@ -38,7 +38,9 @@ class Payloads(NamedTuple):
 
 
 def with_image(bronze: DataFrame) -> DataFrame:
-    return bronze.withColumn("image", cdc.row_image(F.col("raw_value")))
+    """Add the JSON text of the row."""
+    message = cdc.envelope(F.col("raw_value"), StringType())
+    return bronze.withColumn("image", cdc.row_image(message))
 
 
 def _readable(dtype: DataType) -> DataType:
@@ -69,8 +71,12 @@ def infer_schema(images: DataFrame, column: str = "image") -> StructType:
     return _readable(DataType.fromDDL(ddl))
 
 
-def parse(with_images: DataFrame, schema: StructType) -> DataFrame:
-    return with_images.withColumn("row", F.from_json("image", schema) if len(schema) else F.lit(None))
+def parse(bronze: DataFrame, schema: StructType) -> DataFrame:
+    """Add the row as a struct; NULL when the message has none. Envelope and row are read in one pass."""
+    if not len(schema):
+        return bronze.withColumn("row", F.lit(None))
+    message = cdc.envelope(F.col("raw_value"), schema)
+    return bronze.withColumn("row", cdc.row_image(message))
 
 
 def key_present(keys: list[str], schema: StructType) -> Column:
@@ -83,7 +89,7 @@ def key_present(keys: list[str], schema: StructType) -> Column:
 def reject_reason(keys: list[str], schema: StructType) -> Column:
     """NULL for usable rows."""
     return (
-        F.when(F.col("image").isNull(), F.lit(EMPTY))
+        F.when(F.col("row").isNull(), F.lit(EMPTY))
         .when(~key_present(keys, schema), F.lit(NO_KEY))
         .when(F.coalesce(~F.col("op").isin(KNOWN_OPS), F.lit(True)), F.lit(UNKNOWN_OP))
         .when(F.col("event_time").isNull(), F.lit(NO_TIME))
@@ -91,10 +97,14 @@ def reject_reason(keys: list[str], schema: StructType) -> Column:
 
 
 def classify(bronze: DataFrame, keys: list[str], schema: StructType | None = None) -> tuple[DataFrame, StructType]:
-    """One pass over the slice: image, parsed row and reject reason of each message."""
-    images = with_image(bronze)
-    schema = infer_schema(images) if schema is None else schema
-    return parse(images, schema).withColumn("error_reason", reject_reason(keys, schema)), schema
+    """One pass over the slice: parsed row and reject reason of each message.
+
+    The text of usable messages is dropped here, so that a written copy holds the row only once.
+    """
+    schema = infer_schema(with_image(bronze)) if schema is None else schema
+    classified = parse(bronze, schema).withColumn("error_reason", reject_reason(keys, schema))
+    rejected = F.col("error_reason").isNotNull()
+    return classified.withColumn("raw_value", F.when(rejected, F.col("raw_value"))), schema
 
 
 def valid_rows(classified: DataFrame, schema: StructType, units: dict[str, str] | None = None) -> DataFrame:
@@ -132,4 +142,10 @@ def split(
 
 def new_dead_letters(rejects: DataFrame, quarantined: DataFrame) -> DataFrame:
     """Rejects not yet in quarantine, so that a replayed slice adds nothing."""
-    return rejects.join(quarantined.select(*MESSAGE_KEY), MESSAGE_KEY, "left_anti")
+    return distinct_messages(rejects).join(quarantined.select(*MESSAGE_KEY), MESSAGE_KEY, "left_anti")
+
+
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """One row per message. Rejects need it; valid rows are reduced per key anyway, so a slice is
+    never shuffled by message."""
+    return messages.dropDuplicates(MESSAGE_KEY)

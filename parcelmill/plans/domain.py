@@ -102,32 +102,19 @@ def delivery_statuses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _line_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with exact money. A (order, line) pair may occur several times."""
-    price = F.col("l_extendedprice").cast("decimal(15,2)")
-
-    def share(rate: str) -> Column:
-        return (price * F.col(rate).cast("decimal(4,2)")).cast("decimal(18,4)")
-
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.col("l_shipdate").alias("BOOKING_DATE"),
-        (F.col("l_quantity") * 1000).cast("bigint").alias("WEIGHT_GRAM"),
-        price.alias("MAIN_FEE"),
-        share("l_tax").alias("SUR_FEE"),
-        share("l_discount").alias("DISCOUNT_AMOUNT"),
-        F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias("STATUS_ID"),
-    )
+LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_tax", "l_discount"]
 
 
-VERSION_ORDER = ["BOOKING_DATE", "l_partkey", "l_suppkey", "MAIN_FEE", "WEIGHT_GRAM", "SUR_FEE", "DISCOUNT_AMOUNT"]
+def _last_lines(lines: DataFrame) -> DataFrame:
+    """Last version of each (order, line) pair, which may occur several times."""
+    return latest_per_key(lines, ["l_orderkey", "l_linenumber"], [F.col(c).desc() for c in LINE_ORDER])
 
 
 def _as_bookings(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
-    """Attach order, parties and service. Orders meet their customers before the larger line side."""
+    """Attach order, parties and service. Orders meet their customers before the larger line side.
+
+    The intermediate decimals are as narrow as the amounts allow: up to 18 digits they are plain longs.
+    """
     orders = (
         table(spark, sf, "orders")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -135,9 +122,21 @@ def _as_bookings(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
     )
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     part = table(spark, sf, "part").select("p_partkey", "p_type")
-    revenue = (F.col("MAIN_FEE") + F.col("SUR_FEE") - F.col("DISCOUNT_AMOUNT")).cast("decimal(18,4)")
+    price = F.col("l_extendedprice").cast("decimal(11,2)")
+    priced = (
+        lines.withColumns(
+            {
+                "MAIN_FEE": price,
+                "SUR_FEE": price * F.col("l_tax").cast("decimal(4,2)"),
+                "DISCOUNT_AMOUNT": price * F.col("l_discount").cast("decimal(4,2)"),
+            }
+        )
+        .withColumn("revenue", (F.col("MAIN_FEE") + F.col("SUR_FEE") - F.col("DISCOUNT_AMOUNT")).cast("decimal(15,4)"))
+        .withColumn("cost", F.col("revenue") * F.lit("0.65").cast("decimal(2,2)"))
+    )
+    weight = (F.col("l_quantity") * 1000).cast("bigint")
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        priced.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
@@ -145,39 +144,36 @@ def _as_bookings(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
             F.concat(F.lit("EA"), F.lit(100000000) + F.col("l_orderkey") * 10 + F.col("l_linenumber"), F.lit("VN")).alias(
                 "ITEM_CODE"
             ),
-            "BOOKING_DATE",
+            F.col("l_shipdate").alias("BOOKING_DATE"),
             F.col("o_custkey").alias("CUSTOMER_ID"),
             F.col("p_type").alias("SERVICE_ID"),
             F.col("s_nationkey").alias("SENDING_POS_CODE"),
             F.col("c_nationkey").alias("RECEIVING_POS_CODE"),
-            "WEIGHT_GRAM",
-            F.when(F.col("WEIGHT_GRAM") <= 10000, "LIGHT").otherwise("HEAVY").alias("WEIGHT_TIER_ID"),
+            weight.alias("WEIGHT_GRAM"),
+            F.when(weight <= 10000, "LIGHT").otherwise("HEAVY").alias("WEIGHT_TIER_ID"),
             F.lit("ROAD").alias("ROUTING_TYPE_ID"),
-            "MAIN_FEE",
-            "SUR_FEE",
-            "DISCOUNT_AMOUNT",
-            revenue.alias("TOTAL_REVENUE"),
-            (revenue * F.lit("0.65").cast("decimal(3,2)")).cast("decimal(18,4)").alias("COST_AMOUNT"),
-            "STATUS_ID",
+            F.col("MAIN_FEE").cast("decimal(15,2)").alias("MAIN_FEE"),
+            F.col("SUR_FEE").cast("decimal(18,4)").alias("SUR_FEE"),
+            F.col("DISCOUNT_AMOUNT").cast("decimal(18,4)").alias("DISCOUNT_AMOUNT"),
+            F.col("revenue").cast("decimal(18,4)").alias("TOTAL_REVENUE"),
+            F.col("cost").cast("decimal(18,4)").alias("COST_AMOUNT"),
+            F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias("STATUS_ID"),
             F.col("o_orderdate").alias("CREATED_AT"),
-            F.col("BOOKING_DATE").alias("UPDATED_AT"),
+            F.col("l_shipdate").alias("UPDATED_AT"),
             F.col("o_orderdate").alias("ingested_at"),
         )
     )
 
 
 def booking_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """All versions of all bookings, with the columns that order them."""
-    lines = _line_versions(spark, sf)
-    return _as_bookings(spark, sf, lines)
+    """All versions of all bookings."""
+    return _as_bookings(spark, sf, table(spark, sf, "lineitem"))
 
 
 def bookings(spark: SparkSession, sf: str) -> DataFrame:
     """One row per booking: the last version. Versions differ in line columns only, so they are
-    reduced before any join."""
-    order = [F.col(c).desc() for c in VERSION_ORDER]
-    lines = latest_per_key(_line_versions(spark, sf), ["l_orderkey", "l_linenumber"], order)
-    return _as_bookings(spark, sf, lines)
+    reduced before any join, and money is computed for the rows that stay."""
+    return _as_bookings(spark, sf, _last_lines(table(spark, sf, "lineitem")))
 
 
 def driver_shifts(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parcelmill.functions.times import to_utc
 from parcelmill.operators import control, history, merge, payload
-from parcelmill.operators.dedup import distinct_messages
 from parcelmill.session import stage
 from parcelmill.sinks import tables
 
@@ -56,9 +57,17 @@ class SilverTable:
 @dataclass(frozen=True)
 class BatchResult:
     read: int
-    upserted: int
-    history_rows: int
     rejected: int
+    max_event_time: str | None
+    max_offset: int | None
+    upserted: int = 0
+    history_rows: int = 0
+
+
+def _observed(df: DataFrame, *metrics: Column) -> tuple[DataFrame, Observation]:
+    """Metrics that are collected while ``df`` is written; nothing is counted in a pass of its own."""
+    observation = Observation()
+    return df.observe(observation, *metrics), observation
 
 
 def apply_batch(
@@ -73,38 +82,29 @@ def apply_batch(
     All three sinks may be run again with the same slice.
     """
     spark = bronze.sparkSession
-    classified, schema = payload.classify(distinct_messages(bronze), table.keys, schema)
+    classified, schema = payload.classify(bronze, table.keys, schema)
+    classified, seen = _observed(classified, *control.batch_metrics())
     parsed = stage(classified, "parsed")
-    counts = parsed.agg(*[c.alias(n) for n, c in control.batch_counts(parsed).items()]).first()
-    read, rejected = counts["records_read"], counts["records_dlq"]
+    result = BatchResult(**seen.get)
 
-    if rejected:
-        rejects = payload.dead_letters(parsed)
+    if result.rejected:
+        rejects = payload.distinct_messages(payload.dead_letters(parsed))
         if tables.exists(spark, table.dlq):
             rejects = payload.new_dead_letters(rejects, tables.read_appended(spark, table.dlq))
         tables.append(rejects, table.dlq)
-    if read == rejected:
-        return BatchResult(read, 0, 0, rejected)
+    if result.read == result.rejected:
+        return result
 
     valid = payload.valid_rows(parsed, schema, units)
-    # metrics ride on the two writes; nothing is counted in a pass of its own
     stamp = F.lit(datetime.now(timezone.utc))
-    value = merge.apply_value(
-        tables.read_snapshot(spark, table.value), valid, table.keys, full_refresh, stamp
-    )
-    value, upserted = _observed(value, "value", F.count_if(F.col("ingested_at") == stamp))
+    changed = F.count_if(F.col("ingested_at") == stamp).alias("n")
+    value = merge.apply_value(tables.read_snapshot(spark, table.value), valid, table.keys, full_refresh, stamp)
+    value, upserted = _observed(value, changed)
     tables.write_snapshot(value, table.value)
-    rows = history.apply_history(
-        tables.read_snapshot(spark, table.history), valid, table.keys, full_refresh, stamp
-    )
-    rows, written = _observed(rows, "history", F.count_if(F.col("ingested_at") == stamp))
+    rows = history.apply_history(tables.read_snapshot(spark, table.history), valid, table.keys, full_refresh, stamp)
+    rows, written = _observed(rows, changed)
     tables.write_snapshot(rows, table.history)
-    return BatchResult(read, upserted.get["n"], written.get["n"], rejected)
-
-
-def _observed(df: DataFrame, name: str, metric):
-    observation = Observation(name)
-    return df.observe(observation, metric.alias("n")), observation
+    return replace(result, upserted=upserted.get["n"], history_rows=written.get["n"])
 
 
 def run_medallion(
@@ -116,6 +116,7 @@ def run_medallion(
     to_ts: str | None = None,
     full_refresh: bool = False,
     schemas: dict[str, StructType] | None = None,
+    parallel: int = 4,
 ) -> list[dict]:
     """Process one table or all of them; returns the lineage records.
 
@@ -127,43 +128,44 @@ def run_medallion(
     stored = tables.read_snapshot(spark, lake.watermarks)
     marks = {} if stored is None else control.load_watermarks(stored)
     bronze = spark.read.parquet(lake.bronze)
-    records = []
-    for name in list(registry) if which.upper() == "ALL" else [which.upper()]:
-        if name not in registry:
-            continue
+
+    def process(name: str) -> dict | None:
         started = time.time()
         mark = marks.get(name, {}).get("last_processed_ts")
         start, end = control.batch_window(mark, from_ts, to_ts, full_refresh)
         batch = control.window_slice(bronze, lake.topic(name), start, end)
         if batch.isEmpty():
-            continue
-        high = control.high_watermark(batch).select(F.col("max_event_time").cast("string"), "max_offset").first()
+            return None
         result = apply_batch(batch, lake.table(name, registry[name]), schemas.get(name), full_refresh)
         now = datetime.now(timezone.utc)
         batch_id = f"BATCH-{name}-{now:%Y%m%d%H%M%S}"
-        if high[0] is not None:
+        if result.max_event_time is not None:
             marks[name] = {
                 # a batch over an old window never moves the watermark back
-                "last_processed_ts": max(high[0], mark or ""),
-                "last_processed_offset": high[1] or 0,
+                "last_processed_ts": max(result.max_event_time, mark or ""),
+                "last_processed_offset": result.max_offset or 0,
                 "last_batch_id": batch_id,
             }
-        records.append(
-            {
-                "batch_id": batch_id,
-                "table_name": name,
-                "source_topic": lake.topic(name),
-                "start_cutoff": start,
-                "end_cutoff": end,
-                "records_read": result.read,
-                "records_value_upserted": result.upserted,
-                "records_history_updated": result.history_rows,
-                "records_dlq": result.rejected,
-                "status": "WARNING_DLQ" if result.rejected else "SUCCESS",
-                "duration_seconds": round(time.time() - started, 2),
-                "created_at": now,
-            }
-        )
+        return {
+            "batch_id": batch_id,
+            "table_name": name,
+            "source_topic": lake.topic(name),
+            "start_cutoff": start,
+            "end_cutoff": end,
+            "records_read": result.read,
+            "records_value_upserted": result.upserted,
+            "records_history_updated": result.history_rows,
+            "records_dlq": result.rejected,
+            "status": "WARNING_DLQ" if result.rejected else "SUCCESS",
+            "duration_seconds": round(time.time() - started, 2),
+            "created_at": now,
+        }
+
+    chosen = [n for n in (registry if which.upper() == "ALL" else [which.upper()]) if n in registry]
+    # tables are independent; side by side, a large one does not leave executors idle at its end
+    with ThreadPoolExecutor(max(1, min(parallel, len(chosen)))) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(process), chosen))
+    records = [r for r in done if r is not None]
     if records:
         at = datetime.now(timezone.utc)
         tables.write_snapshot(control.watermark_frame(spark, marks, at), lake.watermarks)

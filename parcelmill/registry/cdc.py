@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from parcelmill import session
 from parcelmill.functions import cdc
 from parcelmill.functions.shape import align_to, evolve_union
-from parcelmill.functions.times import normalize_epochs, to_utc
+from parcelmill.functions.times import between, normalize_epochs, to_utc
 from parcelmill.operators import control, dedup, history, merge, payload
 from parcelmill.plans import domain
 from parcelmill.registry.base import query, stored
@@ -35,10 +35,6 @@ def user_schema():
     return StructType.fromDDL("ID bigint, STATUS string, AMOUNT double")
 
 
-def users_bronze(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
-    return changes.to_bronze(domain.change_messages(spark, sf, events), stamp())
-
-
 def topics_bronze_path(spark: SparkSession, sf: str) -> str:
     """Bronze with one topic per event type, as files."""
 
@@ -53,8 +49,18 @@ def topics_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return lake.scan(spark, topics_bronze_path(spark, sf))
 
 
-def valid_changes(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
-    return payload.split(users_bronze(spark, sf, events), KEYS, user_schema()).valid
+def users_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """The same messages as changes of one table, the users."""
+    return topics_bronze(spark, sf).withColumn("kafka_topic", F.lit("cdc.USERS"))
+
+
+def days(bronze: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Messages of whole days ``[start, end)``."""
+    return bronze.filter(between(F.col("event_time"), start, end))
+
+
+def valid_changes(bronze: DataFrame) -> DataFrame:
+    return payload.split(bronze, KEYS, user_schema()).valid
 
 
 def ms(column: str):
@@ -116,7 +122,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return users_bronze(spark, sf).select(
+    rows = changes.to_bronze(domain.change_messages(spark, sf), stamp())
+    return rows.select(
         "kafka_key", "op", "ts_ms", "kafka_topic", "kafka_partition", "kafka_offset"
     )
 
@@ -126,7 +133,8 @@ def _(spark, sf):
     with_("messages", "SELECT event_id AS kafka_offset, ts_ms AS event_time_ms FROM messages"),
 )
 def _(spark, sf):
-    return users_bronze(spark, sf).select("kafka_offset", ms("event_time").alias("event_time_ms"))
+    rows = changes.to_bronze(domain.change_messages(spark, sf), stamp())
+    return rows.select("kafka_offset", ms("event_time").alias("event_time_ms"))
 
 
 @query(
@@ -237,9 +245,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Schema inferred, then every image parsed and flattened."""
-    images = payload.with_image(users_bronze(spark, sf)).filter("image IS NOT NULL")
-    parsed = payload.parse(images, payload.infer_schema(images))
-    return parsed.select("kafka_offset", "row.*")
+    bronze = users_bronze(spark, sf)
+    parsed = payload.parse(bronze, payload.infer_schema(payload.with_image(bronze)))
+    return parsed.filter("row IS NOT NULL").select("kafka_offset", "row.*")
 
 
 _REASON = """CASE WHEN faulty AND op = 'd' THEN 'EMPTY_OR_UNPARSABLE_PAYLOAD'
@@ -272,8 +280,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The first ten days are quarantined already; the replay of everything adds only the rest."""
     rejects = payload.split(users_bronze(spark, sf), KEYS, user_schema()).rejects
-    events = domain.table(spark, sf, "events").filter(F.col("ts") < "2024-01-11")
-    earlier = payload.split(users_bronze(spark, sf, events), KEYS, user_schema()).rejects
+    earlier = payload.split(days(users_bronze(spark, sf), end="2024-01-11"), KEYS, user_schema()).rejects
     both = earlier.unionByName(payload.new_dead_letters(rejects, earlier))
     return both.drop("raw_value", "quarantined_at")
 
@@ -417,7 +424,7 @@ _LATEST = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id OR
     ),
 )
 def _(spark, sf):
-    return dedup.dedup_latest(valid_changes(spark, sf), KEYS).select("ID", "kafka_offset", "op", "AMOUNT")
+    return dedup.dedup_latest(valid_changes(users_bronze(spark, sf)), KEYS).select("ID", "kafka_offset", "op", "AMOUNT")
 
 
 @query(
@@ -430,7 +437,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    upserts, deletes = merge.route_ops(dedup.dedup_latest(valid_changes(spark, sf), KEYS), stamp())
+    upserts, deletes = merge.route_ops(dedup.dedup_latest(valid_changes(users_bronze(spark, sf)), KEYS), stamp())
     both = evolve_union(
         upserts.drop("ingested_at").withColumn("route", F.lit("upsert")), deletes.withColumn("route", F.lit("delete"))
     )
@@ -450,9 +457,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Two batches of whole days, the second with the last days of the first once more."""
-    events = domain.table(spark, sf, "events")
-    first = valid_changes(spark, sf, events.filter(F.col("ts") < "2024-01-16"))
-    second = valid_changes(spark, sf, events.filter(F.col("ts") >= "2024-01-12"))
+    bronze = users_bronze(spark, sf)
+    first, second = valid_changes(days(bronze, end="2024-01-16")), valid_changes(days(bronze, "2024-01-12"))
     value = session.stage(merge.apply_value(None, first, KEYS, stamp=stamp()), "value-first")
     return merge.apply_value(value, second, KEYS, stamp=stamp()).select("ID", "STATUS", "AMOUNT")
 
@@ -467,7 +473,7 @@ def history_out(rows: DataFrame) -> DataFrame:
 
 
 def full_history(spark: SparkSession, sf: str) -> DataFrame:
-    return history.build_history(valid_changes(spark, sf), KEYS, stamp())
+    return history.build_history(valid_changes(users_bronze(spark, sf)), KEYS, stamp())
 
 
 @query("silver_history", HISTORY_SQL)
@@ -478,19 +484,19 @@ def _(spark, sf):
 @query("silver_history_hot_keys", HISTORY_SQL)
 def _(spark, sf):
     """Every key with more than fifty changes takes the sliced path."""
-    return history_out(history.public_history(history.build_history(valid_changes(spark, sf), KEYS, stamp(), hot_rows=50)))
+    return history_out(history.public_history(history.build_history(valid_changes(users_bronze(spark, sf)), KEYS, stamp(), hot_rows=50)))
 
 
 @query("silver_history_incremental", HISTORY_SQL)
 def _(spark, sf):
     """Purchases and errors arrive after everything else, so most of them are late; then the last
     week is replayed. The result is that of one complete build."""
-    events = domain.table(spark, sf, "events")
-    late = F.col("event_type").isin("purchase", "error")
-    batches = [events.filter(~late), events.filter(late), events.filter(F.col("ts") >= "2024-01-24")]
+    bronze = topics_bronze(spark, sf)
+    late = F.col("kafka_topic").isin("cdc.PURCHASE", "cdc.ERROR")
+    batches = [bronze.filter(~late), bronze.filter(late), days(bronze, "2024-01-24")]
     rows = None
     for number, batch in enumerate(batches):
-        rows = history.apply_history(rows, valid_changes(spark, sf, batch), KEYS, stamp=stamp())
+        rows = history.apply_history(rows, valid_changes(batch), KEYS, stamp=stamp())
         if number + 1 < len(batches):
             rows = session.stage(rows, f"history-{number}")
     return history_out(history.public_history(rows))
@@ -505,11 +511,9 @@ WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01
     ),
 )
 def _(spark, sf):
-    events = domain.table(spark, sf, "events")
-    stored_rows = history.build_history(
-        valid_changes(spark, sf, events.filter(F.col("ts") < "2024-01-16")), KEYS, stamp()
-    )
-    candidates = history.event_rows(valid_changes(spark, sf, events.filter(F.col("ts") >= "2024-01-12")), KEYS, stamp())
+    bronze = users_bronze(spark, sf)
+    stored_rows = history.build_history(valid_changes(days(bronze, end="2024-01-16")), KEYS, stamp())
+    candidates = history.event_rows(valid_changes(days(bronze, "2024-01-12")), KEYS, stamp())
     fresh = history.new_events(candidates, session.stage(stored_rows, "history-known"), KEYS)
     return fresh.select("ID", "kafka_offset", ms("valid_from").alias("from_ms"))
 
@@ -519,7 +523,7 @@ def _(spark, sf):
     with_("timeline", "SELECT ID, event_id AS kafka_offset, from_ms, next_ms FROM timeline"),
 )
 def _(spark, sf):
-    chained = history.chain(history.event_rows(valid_changes(spark, sf), KEYS, stamp()), KEYS)
+    chained = history.chain(history.event_rows(valid_changes(users_bronze(spark, sf)), KEYS, stamp()), KEYS)
     return chained.select("ID", "kafka_offset", ms("valid_from").alias("from_ms"), ms("next_time").alias("next_ms"))
 
 

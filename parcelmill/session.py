@@ -70,7 +70,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` with a written table, so that several sinks can read it.
 
-    Survives the loss of executors, keeps columnar pruning, and gives later joins real sizes.
+    Survives the loss of executors, keeps column pruning, and gives later joins real sizes.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

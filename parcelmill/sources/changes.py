@@ -38,7 +38,7 @@ def read_changes(
 
 def to_bronze(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Bronze rows from log messages; works on streams and batches alike."""
-    raw = F.col("raw_value")
+    message = F.col("message")
     return (
         messages.select(
             F.col("key").cast("string").alias("kafka_key"),
@@ -48,7 +48,8 @@ def to_bronze(messages: DataFrame, ingested_at: Column | None = None) -> DataFra
             F.col("offset").alias("kafka_offset"),
             F.col("timestamp").alias("kafka_timestamp"),
         )
-        .select("*", cdc.change_op(raw).alias("op"), cdc.change_ts_ms(raw).alias("ts_ms"))
+        .withColumn("message", cdc.envelope(F.col("raw_value")))
+        .withColumns({"op": cdc.change_op(message), "ts_ms": cdc.change_ts_ms(message)})
         .select(
             "kafka_key",
             "raw_value",
@@ -68,13 +69,11 @@ def backfill(bronze: DataFrame) -> DataFrame:
     """Fill rows without an event time: op, ts_ms and the time are read from the message again."""
     if "event_time" not in bronze.columns:
         bronze = bronze.withColumn("event_time", F.lit(None).cast("timestamp"))
-    raw, missing = F.col("raw_value"), F.col("event_time").isNull()
-    fixed = {
-        "op": cdc.change_op(raw),
-        "ts_ms": cdc.change_ts_ms(raw),
-        "event_time": cdc.event_time(cdc.change_ts_ms(raw)),
-    }
-    return bronze.select(
+    missing, message = F.col("event_time").isNull(), F.col("_message")
+    ts_ms = cdc.change_ts_ms(message)
+    fixed = {"op": cdc.change_op(message), "ts_ms": ts_ms, "event_time": cdc.event_time(ts_ms)}
+    parsed = bronze.withColumn("_message", F.when(missing, cdc.envelope(F.col("raw_value"))))
+    return parsed.select(
         *[F.when(missing, fixed[c]).otherwise(F.col(c)).alias(c) if c in fixed else F.col(c) for c in bronze.columns]
     )
 
