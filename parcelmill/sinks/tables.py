@@ -52,6 +52,19 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
         raise RuntimeError(f"another writer replaced {path}")
 
 
+def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove all but the newest ``keep`` snapshots; returns how many went.
+
+    Run it when no reader can still hold an older one.
+    """
+    fs, pointers = _fs(spark, f"{path}/{POINTER}")
+    old = sorted(s.getPath().getName() for s in fs.listStatus(pointers))[:-keep]
+    for name in old:
+        fs.delete(_fs(spark, f"{path}/{name.split('.', 1)[1]}")[1], True)
+        fs.delete(_fs(spark, f"{path}/{POINTER}/{name}")[1], False)
+    return len(old)
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
