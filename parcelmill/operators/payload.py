@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 from parcelmill.functions import cdc
 from parcelmill.functions.times import normalize_epochs
 from parcelmill.schemas import DLQ, column_names
+from parcelmill.session import stage
 
 EMPTY = "EMPTY_OR_UNPARSABLE_PAYLOAD"
 NO_KEY = "MISSING_OR_NULL_PRIMARY_KEY"
@@ -39,8 +40,13 @@ class Payloads(NamedTuple):
 
 def with_image(bronze: DataFrame) -> DataFrame:
     """Add the JSON text of the row."""
-    message = cdc.envelope(F.col("raw_value"), StringType())
-    return bronze.withColumn("image", cdc.row_image(message))
+    return _with_row(bronze, "image", StringType())
+
+
+def _with_row(bronze: DataFrame, name: str, image: DataType) -> DataFrame:
+    """Parse the message as a column of its own first: one parse, however often its parts are used."""
+    parsed = bronze.withColumn("_message", cdc.envelope(F.col("raw_value"), image))
+    return parsed.withColumn(name, cdc.row_image(F.col("_message"))).drop("_message")
 
 
 def _readable(dtype: DataType) -> DataType:
@@ -75,8 +81,7 @@ def parse(bronze: DataFrame, schema: StructType) -> DataFrame:
     """Add the row as a struct; NULL when the message has none. Envelope and row are read in one pass."""
     if not len(schema):
         return bronze.withColumn("row", F.lit(None))
-    message = cdc.envelope(F.col("raw_value"), schema)
-    return bronze.withColumn("row", cdc.row_image(message))
+    return _with_row(bronze, "row", schema)
 
 
 def key_present(keys: list[str], schema: StructType) -> Column:
@@ -135,9 +140,13 @@ def split(
     schema: StructType | None = None,
     units: dict[str, str] | None = None,
 ) -> Payloads:
-    """Valid rows (flattened, epochs normalised) and dead letters."""
+    """Valid rows (flattened, epochs normalised) and dead letters, both from one written parse.
+
+    A filter on parsed columns would otherwise be pushed below the parse and repeat it.
+    """
     classified, schema = classify(bronze, keys, schema)
-    return Payloads(valid_rows(classified, schema, units), dead_letters(classified))
+    parsed = stage(classified, "parsed")
+    return Payloads(valid_rows(parsed, schema, units), dead_letters(parsed))
 
 
 def new_dead_letters(rejects: DataFrame, quarantined: DataFrame) -> DataFrame:

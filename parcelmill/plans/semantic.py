@@ -23,7 +23,8 @@ def _group_rows(group: str) -> Column:
 
 
 def _kg() -> Column:
-    return F.col("WEIGHT_GRAM") / F.lit("1000.0").cast("decimal(5,1)")
+    """Grams are summed as integers; only the total is divided."""
+    return F.sum("WEIGHT_GRAM").cast("double") / F.lit(1000.0)
 
 
 @dataclass(frozen=True)
@@ -49,8 +50,8 @@ SHIPMENTS = Cube(
         "avgProfitPerOrder": lambda: F.avg("PROFIT_AMOUNT"),
         "profitMarginPct": lambda: _ratio_pct(F.sum("PROFIT_AMOUNT"), F.sum("TOTAL_REVENUE")),
         "deliverySuccessRate": lambda: _ratio_pct(_group_rows("COMPLETED"), _rows()),
-        "totalWeightKg": lambda: F.sum(_kg()),
-        "avgWeightKg": lambda: F.avg(_kg()),
+        "totalWeightKg": _kg,
+        "avgWeightKg": lambda: _kg() / F.nullif(F.count("WEIGHT_GRAM"), F.lit(0)),
         "uniqueCustomers": lambda: F.count_distinct("CUSTOMER_ID"),
     },
     dimensions={

@@ -45,6 +45,8 @@ def edge(df: DataFrame) -> DataFrame:
 
     def shaped(f):
         c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, DecimalType) and f.dataType.scale <= 4:
+            return c.cast("double").alias(f.name)
         if isinstance(f.dataType, (DecimalType, DoubleType)):
             return F.round(c.cast("double"), 4).alias(f.name)
         if isinstance(f.dataType, (DateType, TimestampNTZType)):

@@ -59,8 +59,17 @@ def days(bronze: DataFrame, start: str | None = None, end: str | None = None) ->
     return bronze.filter(between(F.col("event_time"), start, end))
 
 
-def valid_changes(bronze: DataFrame) -> DataFrame:
-    return payload.split(bronze, KEYS, user_schema()).valid
+def parsed_users(spark: SparkSession, sf: str) -> DataFrame:
+    """The parsed messages as the batch job leaves them for its sinks."""
+
+    def write(path: str) -> None:
+        payload.classify(topics_bronze(spark, sf), KEYS, user_schema())[0].write.parquet(path)
+
+    return spark.read.parquet(stored(spark, sf, "parsed", write))
+
+
+def valid_changes(parsed: DataFrame) -> DataFrame:
+    return payload.valid_rows(parsed, user_schema())
 
 
 def ms(column: str):
@@ -424,7 +433,7 @@ _LATEST = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id OR
     ),
 )
 def _(spark, sf):
-    return dedup.dedup_latest(valid_changes(users_bronze(spark, sf)), KEYS).select("ID", "kafka_offset", "op", "AMOUNT")
+    return dedup.dedup_latest(valid_changes(parsed_users(spark, sf)), KEYS).select("ID", "kafka_offset", "op", "AMOUNT")
 
 
 @query(
@@ -437,7 +446,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    upserts, deletes = merge.route_ops(dedup.dedup_latest(valid_changes(users_bronze(spark, sf)), KEYS), stamp())
+    upserts, deletes = merge.route_ops(dedup.dedup_latest(valid_changes(parsed_users(spark, sf)), KEYS), stamp())
     both = evolve_union(
         upserts.drop("ingested_at").withColumn("route", F.lit("upsert")), deletes.withColumn("route", F.lit("delete"))
     )
@@ -457,8 +466,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Two batches of whole days, the second with the last days of the first once more."""
-    bronze = users_bronze(spark, sf)
-    first, second = valid_changes(days(bronze, end="2024-01-16")), valid_changes(days(bronze, "2024-01-12"))
+    parsed = parsed_users(spark, sf)
+    first, second = valid_changes(days(parsed, end="2024-01-16")), valid_changes(days(parsed, "2024-01-12"))
     value = session.stage(merge.apply_value(None, first, KEYS, stamp=stamp()), "value-first")
     return merge.apply_value(value, second, KEYS, stamp=stamp()).select("ID", "STATUS", "AMOUNT")
 
@@ -473,7 +482,7 @@ def history_out(rows: DataFrame) -> DataFrame:
 
 
 def full_history(spark: SparkSession, sf: str) -> DataFrame:
-    return history.build_history(valid_changes(users_bronze(spark, sf)), KEYS, stamp())
+    return history.build_history(valid_changes(parsed_users(spark, sf)), KEYS, stamp())
 
 
 @query("silver_history", HISTORY_SQL)
@@ -484,16 +493,16 @@ def _(spark, sf):
 @query("silver_history_hot_keys", HISTORY_SQL)
 def _(spark, sf):
     """Every key with more than fifty changes takes the sliced path."""
-    return history_out(history.public_history(history.build_history(valid_changes(users_bronze(spark, sf)), KEYS, stamp(), hot_rows=50)))
+    return history_out(history.public_history(history.build_history(valid_changes(parsed_users(spark, sf)), KEYS, stamp(), hot_rows=50)))
 
 
 @query("silver_history_incremental", HISTORY_SQL)
 def _(spark, sf):
     """Purchases and errors arrive after everything else, so most of them are late; then the last
     week is replayed. The result is that of one complete build."""
-    bronze = topics_bronze(spark, sf)
+    parsed = parsed_users(spark, sf)
     late = F.col("kafka_topic").isin("cdc.PURCHASE", "cdc.ERROR")
-    batches = [bronze.filter(~late), bronze.filter(late), days(bronze, "2024-01-24")]
+    batches = [parsed.filter(~late), parsed.filter(late), days(parsed, "2024-01-24")]
     rows = None
     for number, batch in enumerate(batches):
         rows = history.apply_history(rows, valid_changes(batch), KEYS, stamp=stamp())
@@ -511,9 +520,9 @@ WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01
     ),
 )
 def _(spark, sf):
-    bronze = users_bronze(spark, sf)
-    stored_rows = history.build_history(valid_changes(days(bronze, end="2024-01-16")), KEYS, stamp())
-    candidates = history.event_rows(valid_changes(days(bronze, "2024-01-12")), KEYS, stamp())
+    parsed = parsed_users(spark, sf)
+    stored_rows = history.build_history(valid_changes(days(parsed, end="2024-01-16")), KEYS, stamp())
+    candidates = history.event_rows(valid_changes(days(parsed, "2024-01-12")), KEYS, stamp())
     fresh = history.new_events(candidates, session.stage(stored_rows, "history-known"), KEYS)
     return fresh.select("ID", "kafka_offset", ms("valid_from").alias("from_ms"))
 
@@ -523,7 +532,7 @@ def _(spark, sf):
     with_("timeline", "SELECT ID, event_id AS kafka_offset, from_ms, next_ms FROM timeline"),
 )
 def _(spark, sf):
-    chained = history.chain(history.event_rows(valid_changes(users_bronze(spark, sf)), KEYS, stamp()), KEYS)
+    chained = history.chain(history.event_rows(valid_changes(parsed_users(spark, sf)), KEYS, stamp()), KEYS)
     return chained.select("ID", "kafka_offset", ms("valid_from").alias("from_ms"), ms("next_time").alias("next_ms"))
 
 

@@ -14,10 +14,10 @@ from parcelmill.sinks import tables
 SPLIT = "2000-01-01"
 
 
-def silver_dims(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> gold.Dims:
+def silver_dims(spark: SparkSession, sf: str) -> gold.Dims:
     return gold.project_dims(
         gold.Dims(
-            domain.customers(spark, sf) if customers is None else customers,
+            domain.customers(spark, sf),
             domain.services(spark, sf),
             domain.pos_locations(spark, sf),
             domain.delivery_statuses(spark, sf),
@@ -25,8 +25,23 @@ def silver_dims(spark: SparkSession, sf: str, customers: DataFrame | None = None
     )
 
 
+def gold_dims(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> gold.Dims:
+    """Dimensions as written tables, whose sizes the planner knows."""
+
+    def table(name: str) -> DataFrame:
+        def write(path: str) -> None:
+            getattr(silver_dims(spark, sf), name).write.parquet(path)
+
+        return spark.read.parquet(stored(spark, sf, f"gold-{name}", write))
+
+    dims = {name: table(name) for name in gold.DIM_COLUMNS}
+    if customers is not None:
+        dims["customers"] = customers
+    return gold.Dims(**dims)
+
+
 def wide(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> DataFrame:
-    return gold.wide_bookings(gold.fact(domain.bookings(spark, sf)), silver_dims(spark, sf, customers))
+    return gold.wide_bookings(gold.fact(domain.bookings(spark, sf)), gold_dims(spark, sf, customers))
 
 
 def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,7 +56,7 @@ def stored_wide_path(spark: SparkSession, sf: str) -> str:
 
     def write(path: str) -> None:
         facts = stored_fact(spark, sf)
-        tables.write_clustered(gold.wide_bookings(facts, silver_dims(spark, sf)), path, {}, warehouse.SORT)
+        tables.write_clustered(gold.wide_bookings(facts, gold_dims(spark, sf)), path, {}, warehouse.SORT)
 
     return stored(spark, sf, "gold-obt", write)
 
@@ -139,7 +154,7 @@ def _(spark, sf):
 def _early(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, gold.Dims]:
     """The table as of the first load, and the inputs of the second. Customers changed since the
     first load were not known to it."""
-    facts, dims = stored_fact(spark, sf), silver_dims(spark, sf)
+    facts, dims = stored_fact(spark, sf), gold_dims(spark, sf)
     known = dims.customers.filter(F.col("ingested_at") < SPLIT)
     old_dims = gold.Dims(known, dims.services, dims.pos, dims.statuses)
     first = gold.wide_bookings(facts.filter(F.col("ingested_at") < SPLIT), old_dims)
