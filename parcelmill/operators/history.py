@@ -110,6 +110,25 @@ def new_events(events: DataFrame, history: DataFrame, keys: list[str]) -> DataFr
     return events.join(known, [*keys, "valid_from", "kafka_offset"], "left_anti")
 
 
+def _split_and_rebuild(
+    history: DataFrame, valid: DataFrame, keys: list[str], stamp: Column | None, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Versions that a batch leaves alone, and the versions that it adds or derives again."""
+    candidates = align_to(event_rows(valid, keys, stamp), history.schema)
+    fresh = new_events(candidates, history, keys)
+    first = fresh.groupBy(*keys).agg(F.min("valid_from").alias("_first"))
+    marked = history.join(first, keys, "left")
+    # NULL _first means that no new event touches the key
+    reopened = F.coalesce(F.col("valid_to") >= F.col("_first"), F.lit(False))
+    kept = marked.filter(~reopened).select(*history.columns)
+    tail = marked.filter(reopened).drop("_first", "valid_to", "is_current")
+    changes = evolve_union(tail, fresh)
+    events = latest_per_key(
+        changes, [*keys, "valid_from"], [F.col("kafka_offset").desc(), F.col("ingested_at")]
+    )
+    return kept, intervals(chain(events, keys, hot_rows=hot_rows, times=changes))
+
+
 def apply_history(
     history: DataFrame | None,
     valid: DataFrame,
@@ -125,20 +144,22 @@ def apply_history(
     """
     if history is None or full_refresh:
         return build_history(valid, keys, stamp, hot_rows)
-    candidates = align_to(event_rows(valid, keys, stamp), history.schema)
-    fresh = new_events(candidates, history, keys)
-    first = fresh.groupBy(*keys).agg(F.min("valid_from").alias("_first"))
-    marked = history.join(first, keys, "left")
-    # NULL _first means that no new event touches the key
-    reopened = F.coalesce(F.col("valid_to") >= F.col("_first"), F.lit(False))
-    kept = marked.filter(~reopened).drop("_first")
-    tail = marked.filter(reopened).drop("_first", "valid_to", "is_current")
-    changes = evolve_union(tail, fresh)
-    events = latest_per_key(
-        changes, [*keys, "valid_from"], [F.col("kafka_offset").desc(), F.col("ingested_at")]
-    )
-    rebuilt = intervals(chain(events, keys, hot_rows=hot_rows, times=changes))
-    return _ordered(evolve_union(kept.select(*history.columns), rebuilt))
+    kept, rebuilt = _split_and_rebuild(history, valid, keys, stamp, hot_rows)
+    return _ordered(evolve_union(kept, rebuilt))
+
+
+def history_changes(
+    history: DataFrame,
+    valid: DataFrame,
+    keys: list[str],
+    stamp: Column | None = None,
+    hot_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """Only the rows that a batch adds or changes: the source of a MERGE on (key, ``valid_from``).
+
+    A table format with MERGE then rewrites the files of these rows, not the whole history.
+    """
+    return _ordered(_split_and_rebuild(history, valid, keys, stamp, hot_rows)[1])
 
 
 def baseline_history(snapshot: DataFrame, loaded_at: Column) -> DataFrame:

@@ -61,17 +61,19 @@ def close_versions(history: DataFrame, first_event: DataFrame, keys: list[str])
     )
 
 
-def merge_into_table(source: DataFrame, table: str, keys: list[str]):
-    """The same upsert for a catalog table whose format supports MERGE."""
+def merge_into_table(source: DataFrame, table: str, keys: list[str], delete: Column | None = None):
+    """MERGE writer for a catalog table whose format supports it; call ``merge()`` on the result.
+
+    Matched rows for which ``delete`` holds are removed, other matched rows replaced, the rest
+    inserted. Only the files that hold matched rows are rewritten.
+    """
     on = reduce(lambda a, b: a & b, [F.expr(f"{table}.{k} = source.{k}") for k in keys])
-    return (
-        source.alias("source")
-        .mergeInto(table, on)
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-    )
+    writer = source.alias("source").mergeInto(table, on)
+    if delete is not None:
+        return (
+            writer.whenMatched(delete).delete().whenMatched().updateAll().whenNotMatched(~delete).insertAll()
+        )
+    return writer.whenMatched().updateAll().whenNotMatched().insertAll()
 
 
 def route_ops(latest: DataFrame, stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:

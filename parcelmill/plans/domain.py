@@ -165,11 +165,6 @@ def _as_bookings(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
     )
 
 
-def booking_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """All versions of all bookings."""
-    return _as_bookings(spark, sf, table(spark, sf, "lineitem"))
-
-
 def bookings(spark: SparkSession, sf: str) -> DataFrame:
     """One row per booking: the last version. Versions differ in line columns only, so they are
     reduced before any join, and money is computed for the rows that stay."""

@@ -151,9 +151,9 @@ UNION ALL SELECT 'EVENTS', count(*) FROM events""",
 def _(spark, sf):
     return audit.profile_counts(
         {
-            "CUSTOMERS": domain.customers(spark, sf),
-            "POS_LOCATIONS": domain.pos_locations(spark, sf),
-            "BOOKING_VERSIONS": domain.booking_versions(spark, sf),
+            "CUSTOMERS": domain.table(spark, sf, "customer"),
+            "POS_LOCATIONS": domain.table(spark, sf, "nation"),
+            "BOOKING_VERSIONS": domain.table(spark, sf, "lineitem"),
             "EVENTS": domain.table(spark, sf, "events"),
         }
     )
@@ -202,14 +202,12 @@ def _(spark, sf):
 
 @query(
     "audit_unique",
-    with_(
-        "booking_versions",
-        "SELECT BOOKING_ID, count(*) AS copies FROM booking_versions GROUP BY BOOKING_ID HAVING count(*) > 1",
-    ),
+    """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 )
 def _(spark, sf):
-    """Booking versions break the key; the deduplicated bookings do not."""
-    return audit.duplicate_keys(domain.booking_versions(spark, sf), ["BOOKING_ID"])
+    """Line items break their composite key."""
+    return audit.duplicate_keys(domain.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query(

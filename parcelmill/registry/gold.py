@@ -137,6 +137,19 @@ def _(spark, sf):
     return gold.refresh_fact(first, silver)
 
 
+@query("gold_fact_partition_merge", with_("bookings", f"SELECT {FACT_OUT} FROM bookings"))
+def _(spark, sf):
+    """The same two loads into a table partitioned by booking month: the second rewrites only the
+    months of new bookings."""
+    path = session.scratch_path(spark, "fact-by-month")
+    silver = stored_fact(spark, sf)
+    by_month = silver.withColumn("booking_month", warehouse.month())
+    tables.append_partitioned(by_month.filter(F.col("ingested_at") < SPLIT), path, ["booking_month"])
+    fresh = gold.newer_than(by_month, spark.read.parquet(path))
+    tables.merge_partitions(fresh, path, gold.BOOKING_KEY, "booking_month")
+    return spark.read.parquet(path).drop("booking_month")
+
+
 # -- denormalised table ----------------------------------------------------------------------------
 
 

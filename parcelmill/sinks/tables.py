@@ -5,6 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from parcelmill.operators.merge import merge_upsert
+from parcelmill.session import stage
 
 POINTER = "_CURRENT"
 
@@ -69,6 +73,36 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
+def append_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Append in which few tasks write to each partition directory.
+
+    The rebalance is by the partition columns; AQE merges small partitions and splits a crowded one.
+    """
+    append(df.hint("rebalance", *[F.col(c) for c in partition_by]), path, partition_by)
+
+
+def merge_partitions(source: DataFrame, path: str, keys: list[str], partition: str) -> None:
+    """Upsert by key into a partitioned table, rewriting only the partitions it touches.
+
+    Touched are the partitions of the new rows and those of the rows they replace. The new content is
+    written aside first. A partition that loses all its rows is removed.
+    """
+    spark = source.sparkSession
+    source = stage(source, "merge-source")
+    target = spark.read.parquet(path)
+    replaced = target.select(*keys, partition).join(source.select(*keys), keys, "left_semi")
+    touched = source.select(partition).union(replaced.select(partition)).distinct()
+    # the join prunes the target's directories at run time
+    old = target.join(touched, partition, "left_semi")
+    rows = stage(merge_upsert(old, source, keys), "merge-rows")
+    emptied = touched.join(rows.select(partition), partition, "left_anti").collect()
+    rows = rows.hint("rebalance", F.col(partition))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    for row in emptied:
+        fs, directory = _fs(spark, f"{path}/{partition}={row[0]}")
+        fs.delete(directory, True)
+
+
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """Table whose appends may have brought new columns."""
     return spark.read.option("mergeSchema", "true").parquet(path)
