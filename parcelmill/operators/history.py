@@ -14,6 +14,7 @@ from parcelmill.functions.cdc import open_end
 from parcelmill.functions.shape import align_to, evolve_union
 from parcelmill.operators.dedup import latest_per_key
 from parcelmill.operators.merge import DELETE_OP
+from parcelmill.session import stage
 
 # A key with more changes than this is split by time before its timeline is chained. At most
 # rows / HOT_KEY_ROWS keys can be hot, which bounds the list that is broadcast.
@@ -99,13 +100,15 @@ def build_history(
     return _ordered(intervals(chain(event_rows(valid, keys, stamp), keys, hot_rows=hot_rows, times=times)))
 
 
-def new_events(events: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
+def new_events(
+    events: DataFrame, history: DataFrame, keys: list[str], since: DataFrame | None = None
+) -> DataFrame:
     """Candidates whose (key, time, offset) is not in history yet.
 
     History is read from the earliest candidate time on: the bound is a scalar subquery that Spark
-    pushes into the scan.
+    pushes into the scan. ``since`` may give it as a one-row frame that is cheaper than ``events``.
     """
-    since = events.agg(F.min("valid_from").alias("t"))
+    since = events.agg(F.min("valid_from").alias("t")) if since is None else since
     known = history.filter(F.col("valid_from") >= since.scalar()).select(*keys, "valid_from", "kafka_offset")
     return events.join(known, [*keys, "valid_from", "kafka_offset"], "left_anti")
 
@@ -113,20 +116,26 @@ def new_events(events: DataFrame, history: DataFrame, keys: list[str]) -> DataFr
 def _split_and_rebuild(
     history: DataFrame, valid: DataFrame, keys: list[str], stamp: Column | None, hot_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Versions that a batch leaves alone, and the versions that it adds or derives again."""
+    """Versions that a batch leaves alone, and the versions that it adds or derives again.
+
+    The new events, and then all events of the reopened tails, are written aside: both are small next
+    to the history and are read several times. Versions that ended before the first new event of the
+    whole batch, which is most of a long history, pass by without a join.
+    """
     candidates = align_to(event_rows(valid, keys, stamp), history.schema)
-    fresh = new_events(candidates, history, keys)
+    earliest = valid.agg(F.min("cdc_event_time").alias("t"))
+    fresh = stage(new_events(candidates, history, keys, earliest), "new-events")
+    since = fresh.agg(F.coalesce(F.min("valid_from"), open_end()).alias("t")).scalar()
+    past = history.filter(F.col("valid_to") < since)
     first = fresh.groupBy(*keys).agg(F.min("valid_from").alias("_first"))
-    marked = history.join(first, keys, "left")
+    recent = history.filter(F.col("valid_to") >= since).join(first, keys, "left")
     # NULL _first means that no new event touches the key
     reopened = F.coalesce(F.col("valid_to") >= F.col("_first"), F.lit(False))
-    kept = marked.filter(~reopened).select(*history.columns)
-    tail = marked.filter(reopened).drop("_first", "valid_to", "is_current")
-    changes = evolve_union(tail, fresh)
-    events = latest_per_key(
-        changes, [*keys, "valid_from"], [F.col("kafka_offset").desc(), F.col("ingested_at")]
-    )
-    return kept, intervals(chain(events, keys, hot_rows=hot_rows, times=changes))
+    kept = past.unionByName(recent.filter(~reopened).select(*history.columns))
+    tail = recent.filter(reopened).drop("_first", "valid_to", "is_current")
+    newest = [F.col("kafka_offset").desc(), F.col("ingested_at")]
+    events = stage(latest_per_key(evolve_union(tail, fresh), [*keys, "valid_from"], newest), "reopened")
+    return kept, intervals(chain(events, keys, hot_rows=hot_rows))
 
 
 def apply_history(

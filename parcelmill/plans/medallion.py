@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from parcelmill.functions.times import to_utc
 from parcelmill.operators import control, history, merge, payload
-from parcelmill.session import stage
+from parcelmill.session import fit_shuffles, stage, tune
 from parcelmill.sinks import tables
 
 
@@ -125,6 +125,8 @@ def run_medallion(
     rebuilds from Bronze alone and therefore drops a bulk-loaded baseline.
     """
     schemas = schemas or {}
+    tune(spark)
+    fit_shuffles(spark, lake.bronze)
     stored = tables.read_snapshot(spark, lake.watermarks)
     marks = {} if stored is None else control.load_watermarks(stored)
     bronze = spark.read.parquet(lake.bronze)
