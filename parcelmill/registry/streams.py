@@ -69,15 +69,14 @@ def _(spark, sf):
 
 @query("silver_foreach_batch", HISTORY_SQL)
 def _(spark, sf):
-    """Silver history of the users, fed file by file from Bronze: the event types arrive one after the
-    other, so most changes are late."""
+    """Silver history of the users, fed from Bronze in about three batches of files: the event types
+    arrive one after the other, so most changes are late."""
     base = session.scratch_path(spark, "silver-stream")
     table = SilverTable(KEYS, f"{base}/value", f"{base}/history", f"{base}/dlq")
     bronze = topics_bronze(spark, sf)
-    files = max(1, len(bronze.inputFiles()) // 2)
-    stream = changes.read_changes(
-        spark, "parquet", {"maxFilesPerTrigger": str(files)}, topics_bronze_path(spark, sf), bronze.schema
-    )
+    path = topics_bronze_path(spark, sf)
+    size = {"maxBytesPerTrigger": str(max(1, session.input_bytes(spark, path) // 3))}
+    stream = changes.read_changes(spark, "parquet", size, path, bronze.schema)
     write_silver(stream, table, f"{base}/ckpt", user_schema()).awaitTermination()
     return history_out(public_history(tables.read_snapshot(spark, table.history)))
 

@@ -84,25 +84,32 @@ def append_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> Non
 def merge_partitions(source: DataFrame, path: str, keys: list[str], partition: str) -> None:
     """Upsert by key into a partitioned table, rewriting only the partitions it touches.
 
-    Touched are the partitions of the new rows and those of the rows they replace. The new content is
+    Touched are the partitions of the new rows and those of the rows they replace; their values come
+    to the driver, at most one per directory of the table, and prune the scan. The new content is
     written aside first. A partition that loses all its rows is removed.
     """
     spark = source.sparkSession
     source = stage(source, "merge-source")
     target = spark.read.parquet(path)
     replaced = target.select(*keys, partition).join(source.select(*keys), keys, "left_semi")
-    touched = source.select(partition).union(replaced.select(partition)).distinct()
-    # the join prunes the target's directories at run time
-    old = target.join(touched, partition, "left_semi")
+    touched = _values(source.select(partition).union(replaced.select(partition)))
+    listed = F.col(partition).isin([v for v in touched if v is not None])
+    old = target.filter(listed | F.col(partition).isNull() if None in touched else listed)
     rows = stage(merge_upsert(old, source, keys), "merge-rows")
-    emptied = touched.join(rows.select(partition), partition, "left_anti").collect()
-    rows = rows.hint("rebalance", F.col(partition))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    for row in emptied:
-        fs, directory = _fs(spark, f"{path}/{partition}={row[0]}")
+    rows.hint("rebalance", F.col(partition)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(partition).parquet(path)
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in touched - _values(rows.select(partition)):
+        text = None if value is None else str(value)
+        fs, directory = _fs(spark, f"{path}/{names.getPartitionPathString(partition, text)}")
         fs.delete(directory, True)
 
 
+def _values(column: DataFrame) -> set:
+    return {row[0] for row in column.distinct().collect()}
+
+
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """Table whose appends may have brought new columns."""
     return spark.read.option("mergeSchema", "true").parquet(path)

@@ -118,6 +118,16 @@ def test_partition_merge_rewrites_only_touched_partitions(spark, tmp_path):
     assert {f for f in after.inputFiles() if "P=20" in f} == before
 
 
+def test_partition_merge_with_null_and_odd_names(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.createDataFrame([(1, None), (2, None), (3, "a b/c:d"), (4, "z")], "ID int, P string")
+    tables.append_partitioned(rows, path, ["P"])
+    changed = spark.createDataFrame([(1, "z"), (3, None)], "ID int, P string")
+    tables.merge_partitions(changed, path, ["ID"], "P")
+    got = {r["ID"]: r["P"] for r in spark.read.parquet(path).collect()}
+    assert got == {1: "z", 2: None, 3: None, 4: "z"}
+
+
 def test_sizing_follows_the_input():
     tib = 2**40
     assert session.sizing(10**6) == (1, 128 * session.MIB)
