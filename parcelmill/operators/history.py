@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from parcelmill.functions.cdc import open_end
 from parcelmill.functions.shape import align_to, evolve_union
 from parcelmill.operators.dedup import latest_per_key
-from parcelmill.operators.merge import DELETE_OP
+from parcelmill.operators.merge import DELETE_OP, merge_delete
 from parcelmill.session import stage
 
 # A key with more changes than this is split by time before its timeline is chained. At most
@@ -113,8 +113,12 @@ def new_events(
     return events.join(known, [*keys, "valid_from", "kafka_offset"], "left_anti")
 
 
-def _split_and_rebuild(
-    history: DataFrame, valid: DataFrame, keys: list[str], stamp: Column | None, hot_rows: int
+def rebuild(
+    history: DataFrame,
+    valid: DataFrame,
+    keys: list[str],
+    stamp: Column | None = None,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Versions that a batch leaves alone, and the versions that it adds or derives again.
 
@@ -135,7 +139,17 @@ def _split_and_rebuild(
     tail = recent.filter(reopened).drop("_first", "valid_to", "is_current")
     newest = [F.col("kafka_offset").desc(), F.col("ingested_at")]
     events = stage(latest_per_key(evolve_union(tail, fresh), [*keys, "valid_from"], newest), "reopened")
-    return kept, intervals(chain(events, keys, hot_rows=hot_rows))
+    return kept, _ordered(intervals(chain(events, keys, hot_rows=hot_rows)))
+
+
+def refresh_value(value: DataFrame, rebuilt: DataFrame, keys: list[str]) -> DataFrame:
+    """Current state after a batch, from the versions that the batch derived again.
+
+    The history decides which change is the last one, so a late or repeated batch cannot put an older
+    row back or revive a deleted key. A key without a current version leaves the table.
+    """
+    current = public_history(rebuilt).filter("is_current = 1").drop("valid_from", "valid_to", "is_current")
+    return evolve_union(merge_delete(value, rebuilt.select(*keys).distinct(), keys), align_to(current, value.schema))
 
 
 def apply_history(
@@ -153,7 +167,10 @@ def apply_history(
     """
     if history is None or full_refresh:
         return build_history(valid, keys, stamp, hot_rows)
-    kept, rebuilt = _split_and_rebuild(history, valid, keys, stamp, hot_rows)
+    return join_up(*rebuild(history, valid, keys, stamp, hot_rows))
+
+
+def join_up(kept: DataFrame, rebuilt: DataFrame) -> DataFrame:
     return _ordered(evolve_union(kept, rebuilt))
 
 
@@ -168,7 +185,7 @@ def history_changes(
 
     A table format with MERGE then rewrites the files of these rows, not the whole history.
     """
-    return _ordered(_split_and_rebuild(history, valid, keys, stamp, hot_rows)[1])
+    return rebuild(history, valid, keys, stamp, hot_rows)[1]
 
 
 def baseline_history(snapshot: DataFrame, loaded_at: Column) -> DataFrame:

@@ -93,7 +93,8 @@ def apply_value(
 ) -> DataFrame:
     """Current-state snapshot after a batch of changes; applying a batch twice changes nothing.
 
-    One anti join removes both replaced and deleted keys, since the last change of a key is either.
+    Batches must come in log order. Where they may not, ``history.refresh_value`` takes the state from
+    the history instead. One anti join removes both replaced and deleted keys, since the last change of a key is either.
     """
     latest = dedup_latest(valid, keys)
     upserts, _ = route_ops(latest, stamp)

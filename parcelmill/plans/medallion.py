@@ -98,11 +98,18 @@ def apply_batch(
     valid = payload.valid_rows(parsed, schema, units)
     stamp = F.lit(datetime.now(timezone.utc))
     changed = F.count_if(F.col("ingested_at") == stamp).alias("n")
-    value = merge.apply_value(tables.read_snapshot(spark, table.value), valid, table.keys, full_refresh, stamp)
+    old_value, old_rows = tables.read_snapshot(spark, table.value), tables.read_snapshot(spark, table.history)
+    if full_refresh or old_value is None or old_rows is None:
+        value = merge.apply_value(None, valid, table.keys, stamp=stamp)
+        rows = history.build_history(valid, table.keys, stamp)
+    else:
+        kept, rebuilt = history.rebuild(old_rows, valid, table.keys, stamp)
+        value = history.refresh_value(old_value, rebuilt, table.keys)
+        rows = history.join_up(kept, rebuilt)
     value, upserted = _observed(value, changed)
-    tables.write_snapshot(value, table.value)
-    rows = history.apply_history(tables.read_snapshot(spark, table.history), valid, table.keys, full_refresh, stamp)
     rows, written = _observed(rows, changed)
+    # history last: until it is switched, the events still count as new and a rerun repeats both
+    tables.write_snapshot(value, table.value)
     tables.write_snapshot(rows, table.history)
     return replace(result, upserted=upserted.get["n"], history_rows=written.get["n"])
 
@@ -141,10 +148,10 @@ def run_medallion(
         result = apply_batch(batch, lake.table(name, registry[name]), schemas.get(name), full_refresh)
         now = datetime.now(timezone.utc)
         batch_id = f"BATCH-{name}-{now:%Y%m%d%H%M%S}"
-        if result.max_event_time is not None:
+        # a batch over an old window never moves the watermark back
+        if result.max_event_time is not None and result.max_event_time >= (mark or ""):
             marks[name] = {
-                # a batch over an old window never moves the watermark back
-                "last_processed_ts": max(result.max_event_time, mark or ""),
+                "last_processed_ts": result.max_event_time,
                 "last_processed_offset": result.max_offset or 0,
                 "last_batch_id": batch_id,
             }

@@ -9,7 +9,7 @@ from parcelmill import session
 from parcelmill.operators.history import public_history
 from parcelmill.plans import domain
 from parcelmill.plans.medallion import SilverTable
-from parcelmill.registry.base import query
+from parcelmill.registry.base import query, stored
 from parcelmill.registry.cdc import HISTORY_SQL, KEYS, history_out, topics_bronze, topics_bronze_path, user_schema
 from parcelmill.registry.sql import with_
 from parcelmill.sinks import tables
@@ -67,18 +67,34 @@ def _(spark, sf):
     return _by_topic(spark.read.parquet(path))
 
 
+def streamed_silver(spark: SparkSession, sf: str) -> SilverTable:
+    """Silver of the users, fed from Bronze in about three batches of files: the event types arrive one
+    after the other, so most changes are late."""
+
+    def table_at(base: str) -> SilverTable:
+        return SilverTable(KEYS, f"{base}/value", f"{base}/history", f"{base}/dlq")
+
+    def write(base: str) -> None:
+        path = topics_bronze_path(spark, sf)
+        size = {"maxBytesPerTrigger": str(max(1, session.input_bytes(spark, path) // 3))}
+        stream = changes.read_changes(spark, "parquet", size, path, topics_bronze(spark, sf).schema)
+        write_silver(stream, table_at(base), f"{base}/ckpt", user_schema()).awaitTermination()
+
+    return table_at(stored(spark, sf, "silver-stream", write))
+
+
 @query("silver_foreach_batch", HISTORY_SQL)
 def _(spark, sf):
-    """Silver history of the users, fed from Bronze in about three batches of files: the event types
-    arrive one after the other, so most changes are late."""
-    base = session.scratch_path(spark, "silver-stream")
-    table = SilverTable(KEYS, f"{base}/value", f"{base}/history", f"{base}/dlq")
-    bronze = topics_bronze(spark, sf)
-    path = topics_bronze_path(spark, sf)
-    size = {"maxBytesPerTrigger": str(max(1, session.input_bytes(spark, path) // 3))}
-    stream = changes.read_changes(spark, "parquet", size, path, bronze.schema)
-    write_silver(stream, table, f"{base}/ckpt", user_schema()).awaitTermination()
-    return history_out(public_history(tables.read_snapshot(spark, table.history)))
+    return history_out(public_history(tables.read_snapshot(spark, streamed_silver(spark, sf).history)))
+
+
+@query(
+    "silver_foreach_batch_value",
+    with_("history", "SELECT ID, STATUS, AMOUNT FROM history WHERE is_current = 1"),
+)
+def _(spark, sf):
+    """The current state that the same late batches leave."""
+    return tables.read_snapshot(spark, streamed_silver(spark, sf).value).select("ID", "STATUS", "AMOUNT")
 
 
 @query(

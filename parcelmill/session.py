@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # an extra shuffle above a skewed join costs less than one task that holds a third of the rows
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM does not compile larger methods; a wide join chain then runs faster operator by operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # the dialect of the predicates users write: 1/0 and bad casts give NULL only through try_*
     "spark.sql.ansi.enabled": "true",
 }

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parcelmill import session
@@ -79,11 +78,16 @@ def test_medallion_runs(spark, lake_at):
     medallion.run_medallion(spark, lake_at, REGISTRY, "t", from_ts="1970-01-01 00:00:00")
     assert state(spark, lake_at, "T") == before
     assert tables.read_appended(spark, f"{lake_at.quarantine}/dlq_t").count() == 1
+    # an old window alone: neither the older row of 1 nor the deleted 2 comes back
+    medallion.run_medallion(spark, lake_at, REGISTRY, "T", "1970-01-01 00:00:00", "2024-01-01 00:00:05")
+    assert state(spark, lake_at, "T") == before
+    value, _ = medallion.silver_tables(spark, lake_at, REGISTRY)["T"]
+    assert [tuple(r) for r in value.select("ID", "V", "EXTRA").collect()] == [(1, 2, 9)]
     marks = control.load_watermarks(tables.read_snapshot(spark, lake_at.watermarks))
     assert marks["T"]["last_processed_ts"] == "2024-01-01 00:00:11" and marks["T"]["last_processed_offset"] == 5
     assert control.reconcile(medallion.silver_tables(spark, lake_at, REGISTRY)).filter("NOT matches").count() == 0
     assert medallion.run_medallion(spark, lake_at, REGISTRY, "UNREGISTERED") == []
-    assert tables.read_appended(spark, lake_at.lineage).count() == 5
+    assert tables.read_appended(spark, lake_at.lineage).count() == 6
 
 
 def test_rejects_alone_reach_quarantine(spark, lake_at):
