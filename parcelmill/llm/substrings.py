@@ -146,6 +146,7 @@ def repeated(docs: DataFrame, length: int = WINDOW, gram: int = GRAM, hot_segmen
     every = session.stage(segments(docs, length, gram), "segments")
     anchors = every.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b"))
     anchors = anchors.filter("n > 1").select("anchor", (F.col("a") == F.col("b")).alias("same"))
+    anchors = session.stage(anchors, "anchors")  # so that the join has shuffles of its own, whose hot anchors can be split
     suspects = session.stage(every.join(anchors, "anchor"), "suspects")
     whole = suspects.filter("same").select("uid", "start", (F.expr("shiftleft(1L, many)") - 1).alias("mask"))
     distinct = (
