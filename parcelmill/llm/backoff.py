@@ -73,6 +73,15 @@ def unpacked(value: bytes) -> np.ndarray:
     return np.frombuffer(value, f"<u{value[0]}", offset=1).astype(np.int64)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their differences, byte by byte, so that the shuffle can compress the high ones."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_keys(value: pa.Buffer) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def _dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order of the keys by shard, and the shards with where each starts in it."""
     shard = (keys % np.uint64(shards)).astype(np.int64)
@@ -91,7 +100,7 @@ def _questions(block: int, stream: np.ndarray, first: np.ndarray, train: np.ndar
         order, present, begin = _dealt(keys, shards)
         for shard, a, b in zip(present.tolist(), begin[:-1], begin[1:]):
             mine = order[a:b]
-            for column, value in zip(out, (block, n, shard, keys[mine].tobytes(), packed(counts[mine]))):
+            for column, value in zip(out, (block, n, shard, packed_keys(keys[mine]), packed(counts[mine]))):
                 column.append(value)
     kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], [c.split()[0] for c in QUESTION.split(", ")])
@@ -99,7 +108,7 @@ def _questions(block: int, stream: np.ndarray, first: np.ndarray, train: np.ndar
 
 def _totals(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Distinct keys of a shard with their summed counts, and the rows' parts of the asked keys."""
-    keys = [np.frombuffer(k.as_buffer(), np.uint64) for k in asked["keys"]]
+    keys = [unpacked_keys(k.as_buffer()) for k in asked["keys"]]
     counts = [unpacked(c.as_py()) for c in asked["counts"]]
     ends = np.cumsum([len(k) for k in keys])
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
