@@ -87,6 +87,7 @@ def repeats(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int =
     texts = tasks.texts(docs).filter("text IS NOT NULL").select("doc_id", _uid(), "text")
     every_chunk = session.stage(tasks.per_batch(texts.select("uid", "text"), digests, "uid long, line int, digest long"), "chunks")
     again = every_chunk.groupBy("digest").count().filter("count > 1").select("digest")
+    again = session.stage(again, "repeated-digests")  # the join then has its own shuffles, whose hot digests can be split
     wants = every_chunk.join(again, "digest").distinct().groupBy("uid").agg(F.collect_list(F.struct("line", "digest")).alias("wants"))
     suspects = tasks.per_batch(
         texts.join(wants, "uid").select("doc_id", "uid", "text", "wants"), bodies, "doc_id long, uid long, line int, digest long, body string"

@@ -15,27 +15,27 @@ Defined cases: a null or empty text is one piece that holds the end id; repeated
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmill import session
 from parcelmill.llm import tasks
-from parcelmill.llm.words import ragged
+from parcelmill.llm.words import LOWER, PIECE_BYTES, as_texts, pieces, ragged, text_bytes
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 200_000
+CACHED_WORDS = 800_000  # of one Python worker
 RANK_ROWS = 500_000  # pieces of one length that one task numbers
 
-# a letter before closing marks always ends a token of the pre-tokenizer, so the two may be split by a space
-_MARKS = re.compile(rb"(?<=[a-z])([.,!%$&*#]+)(?=[ \t\n\r\f\v]|$)")
+# Between a letter and closing marks a token of the pre-tokenizer always ends, so the two may be looked up apart.
+_MARKS = ".,!%$&*#"
 
 
 def default_tokenizer() -> str:
@@ -45,52 +45,89 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Ids of texts from a tokenizer that never joins over white space, with the ids of words kept."""
+    """Ids of texts from a tokenizer that never joins over white space, with the ids of words kept.
+
+    A word is looked up as a stem and the marks that close it. Stems of letters alone are one token of the
+    pre-tokenizer each, whose last id ends a word, so many of them are encoded as one text.
+    """
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.offset, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.index) + len(words) > self.most:
-            self.forget()
-        got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        for i, w in enumerate(words, len(self.index)):
-            self.index[w] = i
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        self.words: dict[str, int] = {}
+        self.stem = self.marks = np.zeros(0, np.int32)  # of each word, its two parts
+        self.parts: dict[str, int] = {"": 0}
+        self.offset, self.length, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32)
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each part, and all ids."""
+        if all(map(str.isalpha, parts)):
+            ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(parts) and ends[-1] == len(ids):
+                return np.diff(ends, prepend=0), ids
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.array([len(x) for x in got], np.int64), np.array([i for x in got for i in x], np.int32)
+
+    def _learn(self, words: list[str]) -> None:
+        stems = [w.rstrip(_MARKS) for w in words]
+        marks = [""] * len(words)
+        for i, (w, stem) in enumerate(zip(words, stems)):
+            if len(w) > len(stem):
+                if stem and "a" <= stem[-1] <= "z":
+                    marks[i] = w[len(stem) :]
+                else:
+                    stems[i] = w
+        new = list(set(stems).union(marks).difference(self.parts))
+        plain = [p.isalpha() for p in new]
+        order = [i for i, p in enumerate(plain) if p] + [i for i, p in enumerate(plain) if not p]
+        cut, lengths, ids = sum(plain), [np.zeros(0, np.int64)], [self.ids]
+        for a, b in ((0, cut), (cut, len(new))):
+            for i in range(a, b, 2000):
+                n, got = self._encode_parts([new[j] for j in order[i : min(i + 2000, b)]])
+                lengths.append(n), ids.append(got)
+        self.parts.update(zip([new[i] for i in order], range(len(self.parts), len(self.parts) + len(new))))
+        lengths = np.concatenate(lengths)
         self.offset = np.concatenate((self.offset, len(self.ids) + np.cumsum(lengths) - lengths))
         self.length = np.concatenate((self.length, lengths))
-        self.ids = np.concatenate((self.ids, np.fromiter((x for ids in got for x in ids), np.int32, int(lengths.sum()))))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens around it."""
-        words, counts, whole = [], [], {}
-        for i, text in enumerate(texts):
-            own = []
-            if "<|" in text:  # may hold a special token, which is found before case is lowered
-                whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-            else:
-                own = _MARKS.sub(rb" \1", text.encode().lower()).split()
-            words += own
-            counts.append(len(own))
-        distinct = set(words)
-        if missing := [w for w in distinct if w not in self.index]:
-            if len(self.index) + len(missing) > self.most:
+        self.ids = np.concatenate(ids)
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        look = self.parts.__getitem__
+        self.stem = np.concatenate((self.stem, np.fromiter(map(look, stems), np.int32, len(words))))
+        self.marks = np.concatenate((self.marks, np.fromiter(map(look, marks), np.int32, len(words))))
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a piece, without special tokens around it."""
+        texts = as_texts(data, at)
+        # may hold a special token, which is found before case is lowered
+        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()
+        whole = {i: np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.int32) for i in special}
+        lists = pc.ascii_split_whitespace(as_texts(LOWER[data], at))
+        words = lists.offsets.to_numpy()
+        coded = lists.values[words[0] : words[-1]].dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.words.get, distinct))
+        if missing := [w for w, k in zip(distinct, known) if k is None]:
+            if len(self.words) + len(missing) > self.most:
                 self.forget()
-                missing = list(distinct)
+                missing = distinct
             self._learn(missing)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        lengths = self.length[at]
-        ids = self.ids[ragged(self.offset[at], lengths)]
-        ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum([0, *counts])]
-        return [whole[i] if i in whole else ids[ends[i] : ends[i + 1]] for i in range(len(texts))]
+            known = map(self.words.__getitem__, distinct)
+        known = np.fromiter(known, np.int64, len(distinct))
+        word = known[coded.indices.to_numpy()]
+        parts = np.stack((self.stem[word], self.marks[word]), axis=1).ravel()
+        lengths = self.length[parts]
+        ids = self.ids[ragged(self.offset[parts], lengths)]
+        ends = np.concatenate(([0], np.cumsum(lengths)))[2 * (words - words[0])]
+        return [whole[i] if i in whole else ids[ends[i] : ends[i + 1]] for i in range(len(at) - 1)]
 
 
 @lru_cache(2)
@@ -106,10 +143,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: tuple[list, ...] = ([], [], [], [], [])
-        texts, doc_ids = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
-        step = 256
-        for i in range(0, len(texts), step):
-            for doc_id, ids in zip(doc_ids[i:], encoder(tokenizer).encode([t or "" for t in texts[i : i + step]])):
+        doc_ids = batch["doc_id"].to_pylist()
+        for i, j, d, a in pieces(*text_bytes(batch["text"]), 2 * PIECE_BYTES):
+            for doc_id, ids in zip(doc_ids[i:j], encoder(tokenizer).encode(d, a)):
                 ids = np.append(ids, end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]

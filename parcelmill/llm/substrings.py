@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from parcelmill import session
 from parcelmill.llm import tasks
 from parcelmill.llm.fm_index import FMIndex, repeated_windows
-from parcelmill.llm.words import Words, covered, pieces, ragged, sliding_min, span_hashes, text_bytes, window_hashes
+from parcelmill.llm.words import Words, as_texts, covered, pieces, ragged, sliding_min, span_hashes, text_bytes, window_hashes
 
 WINDOW = 35
 GRAM = 6
@@ -102,7 +102,7 @@ def _with_text(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 def _search(shard: pa.Table, length: int, gram: int) -> pa.Table:
     """Masks of the repeated windows of a shard's segments."""
-    lists = pc.split_pattern(shard["words"].combine_chunks().cast(pa.large_string()), " ")
+    lists = pc.split_pattern(as_texts(*text_bytes(shard["words"])), " ")
     ids = lists.values.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
     at = lists.offsets.to_numpy()
     ids, at = ids[at[0] : at[-1]], at - at[0]

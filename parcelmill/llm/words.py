@@ -74,6 +74,11 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[at[0] : at[-1]], at - at[0]
 
 
+def as_texts(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The texts of bytes and offsets as an array that starts at its buffers' start, as some kernels need it."""
+    return pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(np.ascontiguousarray(at, np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def pieces(data: np.ndarray, at: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole documents of at most ``most`` bytes: first, end, their bytes and offsets."""
     i, n = 0, len(at) - 1
