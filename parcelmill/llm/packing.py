@@ -31,7 +31,7 @@ from parcelmill.llm.words import LOWER, PIECE_BYTES, as_texts, pieces, ragged, t
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 800_000  # of one Python worker
+CACHED_WORDS = 400_000  # of one Python worker
 RANK_ROWS = 500_000  # pieces of one length that one task numbers
 
 # Between a letter and closing marks a token of the pre-tokenizer always ends, so the two may be looked up apart.
