@@ -28,6 +28,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 LEAST_SEEDS = 5  # different known identifiers that a pattern must stand around
 TRUST = 0.8
+LOOKS_LIKE_CARD = 12  # digits; shorter numbers are no cards that fail, but candidates
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -78,7 +79,10 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     if _DIGIT.search(text):
         for kind, form in (("ip", _IP), ("card", _CARD), ("phone", _PHONE)):
             for m in form.finditer(text):
-                (good if _checked(kind, m.group()) else bad).append((kind, m.start(), m.end()))
+                if _checked(kind, m.group()):
+                    good.append((kind, m.start(), m.end()))
+                elif kind != "card" or sum(map(str.isdigit, m.group())) >= LOOKS_LIKE_CARD:
+                    bad.append((kind, m.start(), m.end()))
     good.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return good, bad
 
@@ -98,7 +102,7 @@ def occurrences(text: str) -> list[tuple[str, str, int, int, list[str]]]:
     good, bad = base_spans(text)
     taken = sorted((a, b) for _, a, b in (*good, *bad))
     out = [(k, text[a:b], a, b, _patterns(text, a, b)) for k, a, b in good]
-    out += [("-", text[a:b], a, b, _patterns(text, a, b)) for _, a, b in bad if b - a > 4]
+    out += [("-", text[a:b], a, b, _patterns(text, a, b)) for _, a, b in bad]
     i = 0
     for m in _WORD.finditer(text):
         if not _DIGIT.search(m.group()):
