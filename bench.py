@@ -50,7 +50,6 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     session.tune(spark)
-    session.fit_shuffles(spark, SF_DIR)
     times: dict[str, float] = {}
     for name, build in BUILDS.items():
         started = time.perf_counter()

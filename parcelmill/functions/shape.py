@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType, TimestampType
 
@@ -30,6 +30,18 @@ def align_to(df: DataFrame, target: StructType) -> DataFrame:
     return df.select(*[shaped(f) for f in df.schema.fields])
 
 
+def unfit(row: StructType, target: StructType, prefix: str = "row") -> Column:
+    """True where a value of a parsed row would be lost by ``align_to``."""
+    wanted = {f.name: f.dataType for f in target.fields}
+    lost = F.lit(False)
+    for field in row.fields:
+        goal, column = wanted.get(field.name), F.col(f"{prefix}.`{field.name}`")
+        epoch = isinstance(goal, TimestampType) and isinstance(field.dataType, (LongType, IntegerType))
+        if goal is not None and goal != field.dataType and not epoch:
+            lost = lost | (column.isNotNull() & column.try_cast(goal).isNull())
+    return lost
+
+
 def evolve_union(*frames: DataFrame) -> DataFrame:
     """Union by name; a column missing from one side is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

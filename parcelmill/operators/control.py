@@ -20,15 +20,50 @@ def batch_window(
     return start, to_ts or OPEN_END
 
 
+def in_window(start: str, end: str) -> Column:
+    """``start <= event_time <= end``. Messages without a readable time cannot be placed in a window;
+    they are kept, to end in quarantine."""
+    low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    at = F.col("event_time")
+    return at.isNull() | ((at >= low) & (at <= high))
+
+
 def window_slice(bronze: DataFrame, topic: str, start: str, end: str) -> DataFrame:
-    """Messages of one topic with ``start <= event_time <= end``.
+    """Messages of one topic in a window of event times.
 
-    The topic is a partition column and the bounds are literals, so both reach the scan. Messages
-    without a readable time cannot be placed in a window; they are kept, to end in quarantine.
+    The topic is a partition column and the bounds are literals, so both reach the scan.
     """
-    low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    at = F.col("event_time")
-    return bronze.filter((F.col("kafka_topic") == topic) & (at.isNull() | ((at >= low) & (at <= high))))
+    return bronze.filter((F.col("kafka_topic") == topic) & in_window(start, end))
+
+
+def after_cutoffs(bronze: DataFrame, topic: str, cutoffs: dict[int, int]) -> DataFrame:
+    """Messages of one topic beyond the last processed offset of their log partition, whatever their time.
+
+    One disjunct per log partition, all literals, so that the bounds reach the scan.
+    """
+    part, offset = F.col("kafka_partition"), F.col("kafka_offset")
+    new = part.isNull() | ~part.isin(list(cutoffs)) if cutoffs else F.lit(True)
+    for partition, last in cutoffs.items():
+        new = new | ((part == partition) & (offset > last))
+    return bronze.filter((F.col("kafka_topic") == topic) & new)
+
+
+def next_cutoffs(pending: DataFrame, taken: Column) -> dict[int, tuple[str | None, int | None]]:
+    """Newest event time and safe offset of each log partition after the ``taken`` part of what was pending.
+
+    An offset is safe up to the first message that was left out. Only columns of the log are read.
+    """
+    left_out = ~taken
+    rows = pending.groupBy("kafka_partition").agg(
+        F.max(F.when(taken, F.col("event_time"))).cast("string").alias("at"),
+        F.max("kafka_offset").alias("last"),
+        F.min(F.when(left_out, F.col("kafka_offset"))).alias("first_out"),
+    )
+    return {  # one row per log partition
+        r["kafka_partition"]: (r["at"], r["last"] if r["first_out"] is None else r["first_out"] - 1)
+        for r in rows.collect()
+        if r["kafka_partition"] is not None
+    }
 
 
 def high_watermark(slice_: DataFrame, *by: str) -> DataFrame:
@@ -38,21 +73,23 @@ def high_watermark(slice_: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def load_watermarks(control: DataFrame) -> dict[str, dict]:
-    """Watermarks by table. The table holds one row per registered table."""
-    return {
-        r["table_name"]: {
+def load_watermarks(control: DataFrame) -> dict[str, dict[int, dict]]:
+    """Watermarks by table and log partition. The table holds one row for each of these."""
+    marks: dict[str, dict[int, dict]] = {}
+    for r in control.filter("table_name IS NOT NULL").collect():
+        marks.setdefault(r["table_name"], {})[r["kafka_partition"]] = {
             "last_processed_ts": r["last_processed_ts"] or EPOCH_START,
-            "last_processed_offset": r["last_processed_offset"] or 0,
+            "last_processed_offset": -1 if r["last_processed_offset"] is None else r["last_processed_offset"],
             "last_batch_id": r["last_batch_id"],
         }
-        for r in control.filter("table_name IS NOT NULL").collect()
-    }
+    return marks
 
 
-def watermark_frame(spark: SparkSession, marks: dict[str, dict], at: datetime) -> DataFrame:
+def watermark_frame(spark: SparkSession, marks: dict[str, dict[int, dict]], at: datetime) -> DataFrame:
     rows = [
-        (t, m["last_processed_ts"], m["last_processed_offset"], m["last_batch_id"], at) for t, m in marks.items()
+        (t, p, m["last_processed_ts"], m["last_processed_offset"], m["last_batch_id"], at)
+        for t, parts in marks.items()
+        for p, m in parts.items()
     ]
     return spark.createDataFrame(rows, WATERMARKS).coalesce(1)
 
@@ -66,8 +103,6 @@ def batch_metrics() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("read"),
         F.count_if(F.col("error_reason").isNotNull()).alias("rejected"),
-        F.max("event_time").cast("string").alias("max_event_time"),
-        F.max("kafka_offset").alias("max_offset"),
     ]
 
 

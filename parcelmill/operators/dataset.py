@@ -14,9 +14,6 @@ from pyspark.sql.types import BooleanType, StringType
 from parcelmill.functions.times import between, time_bucket
 
 TIME_LABEL = "__timestamp"
-DISTINCT_LIMIT = 10_000
-# A series list up to this many groups is broadcast; a longer one is joined by size like any table.
-BROADCAST_SERIES = 10_000
 
 
 class QueryError(ValueError):
@@ -315,8 +312,8 @@ def _rowcount(df: DataFrame, q: DatasetQuery) -> DataFrame:
 def _keep_top_series(ds: Dataset, q: DatasetQuery, rows: DataFrame, series: dict, metrics: dict) -> DataFrame:
     """Rows of the best ``series_limit`` groups. A group with a NULL key never matches.
 
-    The ranked list is a top-k of an aggregate, so it has at most ``series_limit`` rows; it is
-    broadcast only while that limit is small. Ties are broken by the group key.
+    The ranked list is a top-k of an aggregate, so it has at most ``series_limit`` rows; whether it is
+    broadcast is left to its size at run time. Ties are broken by the group key.
     """
     if q.series_limit_metric is not None:
         by = metric_column(ds, q.series_limit_metric)
@@ -326,20 +323,18 @@ def _keep_top_series(ds: Dataset, q: DatasetQuery, rows: DataFrame, series: dict
     ranked = rows.groupBy(*[series[k].alias(n) for k, n in names.items()]).agg(by.alias("_by"))
     rank = F.col("_by").desc() if q.order_desc else F.col("_by").asc()
     best = ranked.orderBy(rank, *names.values()).limit(q.series_limit).select(*names.values())
-    if q.series_limit <= BROADCAST_SERIES:
-        best = F.broadcast(best)
     on = reduce(lambda a, b: a & b, [series[k] == F.col(n) for k, n in names.items()])
     return rows.join(best, on, "left_semi")
 
 
-def distinct_values(ds: Dataset, column: str, limit: int | None = DISTINCT_LIMIT) -> DataFrame:
-    """Values for a filter picker."""
+def distinct_values(ds: Dataset, column: str, limit: int | None = None) -> DataFrame:
+    """Values for a filter picker: all of them, or the first ``limit`` in their order."""
     _require_column(ds, column)
     rows = ds.rows.filter(F.expr(ds.fetch_predicate)) if ds.fetch_predicate else ds.rows
     if ds.row_level is not None:
         rows = rows.filter(ds.row_level)
     values = rows.select(column).distinct()
-    return values.limit(limit) if limit else values
+    return values.orderBy(column).limit(limit) if limit else values
 
 
 def virtual_dataset(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None, **dataset) -> Dataset:

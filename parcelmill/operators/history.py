@@ -16,8 +16,7 @@ from parcelmill.operators.dedup import latest_per_key
 from parcelmill.operators.merge import DELETE_OP, merge_delete
 from parcelmill.session import stage
 
-# A key with more changes than this is split by time before its timeline is chained. At most
-# rows / HOT_KEY_ROWS keys can be hot, which bounds the list that is broadcast.
+# A key with more changes than this is split by time before its timeline is chained.
 HOT_KEY_ROWS = 1_000_000
 # Width of a slice of a hot key. Times are unique per key after the dedup and carry milliseconds,
 # so one slice holds at most SLICE_MS rows.
@@ -58,7 +57,7 @@ def chain(
     the hot keys and the slice starts are read instead of from ``events``.
     """
     times = (events if times is None else times).select(*keys, time)
-    hot = F.broadcast(hot_keys(times, keys, hot_rows))
+    hot = hot_keys(times, keys, hot_rows)
     slice_of = F.floor(F.unix_millis(time) / F.lit(slice_ms))
     sliced = events.join(hot, keys, "left").withColumn("_slice", F.when(F.col("_hot"), slice_of))
     per_slice = Window.partitionBy(*keys, "_slice").orderBy(F.col(time), F.col("kafka_offset"))
@@ -120,15 +119,25 @@ def rebuild(
     stamp: Column | None = None,
     hot_rows: int = HOT_KEY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Versions that a batch leaves alone, and the versions that it adds or derives again.
+    """Versions that a batch leaves alone, and the versions that it adds or derives again."""
+    return rebuild_from(history, fresh_events(history, valid, keys, stamp), keys, hot_rows)
 
-    The new events, and then all events of the reopened tails, are written aside: both are small next
-    to the history and are read several times. Versions that ended before the first new event of the
-    whole batch, which is most of a long history, pass by without a join.
-    """
+
+def fresh_events(history: DataFrame, valid: DataFrame, keys: list[str], stamp: Column | None = None) -> DataFrame:
+    """The changes of a batch that the history doesn't have, written aside: they are few and read several times."""
     candidates = align_to(event_rows(valid, keys, stamp), history.schema)
     earliest = valid.agg(F.min("cdc_event_time").alias("t"))
-    fresh = stage(new_events(candidates, history, keys, earliest), "new-events")
+    return stage(new_events(candidates, history, keys, earliest), "new-events")
+
+
+def rebuild_from(
+    history: DataFrame, fresh: DataFrame, keys: list[str], hot_rows: int = HOT_KEY_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Kept and rebuilt versions, from new events.
+
+    All events of the reopened tails are written aside as well. Versions that ended before the first new
+    event of the whole batch, which is most of a long history, pass by without a join.
+    """
     since = fresh.agg(F.coalesce(F.min("valid_from"), open_end()).alias("t")).scalar()
     past = history.filter(F.col("valid_to") < since)
     first = fresh.groupBy(*keys).agg(F.min("valid_from").alias("_first"))
@@ -148,10 +157,15 @@ def refresh_value(value: DataFrame, rebuilt: DataFrame, keys: list[str]) -> Data
     The history decides which change is the last one, so a late or repeated batch cannot put an older
     row back or revive a deleted key. A key without a current version leaves the table.
     """
-    current = public_history(rebuilt).filter("is_current = 1").drop("valid_from", "valid_to", "is_current")
+    current = current_state(rebuilt)
     return evolve_union(merge_delete(value, rebuilt.select(*keys).distinct(), keys), align_to(current, value.schema))
 
 
+def current_state(history: DataFrame) -> DataFrame:
+    """The current version of every key as a row of the value table."""
+    return current_versions(history).drop("valid_from", "valid_to", "is_current")
+
+
 def apply_history(
     history: DataFrame | None,
     valid: DataFrame,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    AtomicType,
     DataType,
     DecimalType,
     DoubleType,
@@ -20,6 +21,7 @@ from pyspark.sql.types import (
 )
 
 from parcelmill.functions import cdc
+from parcelmill.functions.shape import unfit
 from parcelmill.functions.times import normalize_epochs
 from parcelmill.schemas import DLQ, column_names
 from parcelmill.session import stage
@@ -28,6 +30,7 @@ EMPTY = "EMPTY_OR_UNPARSABLE_PAYLOAD"
 NO_KEY = "MISSING_OR_NULL_PRIMARY_KEY"
 UNKNOWN_OP = "UNKNOWN_OP"
 NO_TIME = "MISSING_EVENT_TIME"
+TYPE_CONFLICT = "TYPE_CONFLICT"
 KNOWN_OPS = ["r", "c", "u", "d"]
 
 MESSAGE_KEY = ["kafka_topic", "kafka_partition", "kafka_offset"]
@@ -91,23 +94,40 @@ def key_present(keys: list[str], schema: StructType) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"row.`{k}`").isNotNull() for k in keys])
 
 
-def reject_reason(keys: list[str], schema: StructType) -> Column:
-    """NULL for usable rows."""
+def reject_reason(keys: list[str], schema: StructType, target: StructType | None = None) -> Column:
+    """NULL for usable rows. A row with a value that the target's column can't hold is not usable."""
+    misfit = F.col("_misfit") if target is None else F.col("_misfit") | unfit(schema, target)
     return (
         F.when(F.col("row").isNull(), F.lit(EMPTY))
         .when(~key_present(keys, schema), F.lit(NO_KEY))
         .when(F.coalesce(~F.col("op").isin(KNOWN_OPS), F.lit(True)), F.lit(UNKNOWN_OP))
         .when(F.col("event_time").isNull(), F.lit(NO_TIME))
+        .when(misfit, F.lit(TYPE_CONFLICT))
     )
 
 
-def classify(bronze: DataFrame, keys: list[str], schema: StructType | None = None) -> tuple[DataFrame, StructType]:
+def classify(
+    bronze: DataFrame, keys: list[str], schema: StructType | None = None, target: StructType | None = None
+) -> tuple[DataFrame, StructType]:
     """One pass over the slice: parsed row and reject reason of each message.
 
-    The text of usable messages is dropped here, so that a written copy holds the row only once.
+    With a declared schema a field whose value doesn't fit is read as NULL; such a message is rejected, as is
+    one whose values don't fit the stored ``target``. The text of usable messages is dropped here, so that a
+    written copy holds the row only once.
     """
-    schema = infer_schema(with_image(bronze)) if schema is None else schema
-    classified = parse(bronze, schema).withColumn("error_reason", reject_reason(keys, schema))
+    declared = schema is not None
+    schema = schema if declared else infer_schema(with_image(bronze))
+    parsed = parse(bronze, schema)
+    if declared and len(schema):
+        # only a row with a NULL is looked at again
+        given = cdc.row_image(cdc.envelope(F.col("raw_value"), StringType()))
+        names = [n for n in schema.names if isinstance(schema[n].dataType, AtomicType)]
+        lost = [F.col(f"row.`{n}`").isNull() & F.get_json_object(given, f"$['{n}']").isNotNull() for n in names]
+        misfit = F.col("row").isNotNull() & reduce(lambda a, b: a | b, lost, F.lit(False))
+    else:
+        misfit = F.lit(False)
+    parsed = parsed.withColumn("_misfit", misfit)
+    classified = parsed.withColumn("error_reason", reject_reason(keys, schema, target)).drop("_misfit")
     rejected = F.col("error_reason").isNotNull()
     return classified.withColumn("raw_value", F.when(rejected, F.col("raw_value"))), schema
 

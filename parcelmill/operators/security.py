@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelmill.functions.times import between
 from parcelmill.plans import semantic
 
 ADMIN, MANAGER, DRIVER, GUEST = "ADMIN", "REGIONAL_MANAGER", "DRIVER", "GUEST"
@@ -58,10 +59,24 @@ def secure(base: DataFrame, access: Access, cube: semantic.Cube) -> DataFrame:
     return base if predicate is None else base.filter(predicate)
 
 
-def secure_by_table(base: DataFrame, permissions: DataFrame, username: str, column: str) -> DataFrame:
-    """Same rule for a restricted user with any number of areas: a semi join with the listed areas."""
-    areas = permission_row(permissions, username).select(F.explode("province_access").alias(column)).distinct()
-    return base.join(areas, column, "left_semi")
+def secure_by_table(base: DataFrame, permissions: DataFrame, username: str, cube: semantic.Cube) -> DataFrame:
+    """The rules of ``secure`` for a user with any number of areas, which stay in the permission table.
+
+    Only the user's role, and whether everything is granted, come to the driver; a restricted user's rows are
+    found by a semi join with the listed areas.
+    """
+    row = permission_row(permissions, username)
+    everything = F.coalesce(F.array_contains("province_access", ALL), F.lit(False))
+    found = row.select("role", everything.alias("everything")).first()
+    access = Access(username, *(() if found is None else (found["role"] or "USER", (ALL,) if found["everything"] else ())))
+    if access.unrestricted:
+        return base
+    if access.role == DRIVER and cube.name == semantic.SHIPMENTS.name:
+        raise PermissionError(f"{username}: drivers have no access to {cube.name}")
+    if access.role not in (MANAGER, DRIVER):
+        return base.filter(F.lit(False))
+    areas = row.select(F.explode("province_access").alias("_area")).distinct()
+    return base.join(areas, semantic.dimension(cube, cube.province) == F.col("_area"), "left_semi")
 
 
 def secured_query(
@@ -70,16 +85,34 @@ def secured_query(
     username: str,
     measures: list[str],
     dimensions: list[str] | None = None,
+    filters: dict[str, list] | None = None,
+    time_range: tuple[str, str] | None = None,
+    order: list[tuple[str, bool]] | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Semantic query as ``username``, with members named ``Cube.member``."""
-    members = [*measures, *(dimensions or [])]
+    """Semantic query as ``username``, with members named ``Cube.member``.
+
+    ``filters`` gives the allowed values of dimensions, ``time_range`` the days from the first to before the
+    second; ``order`` holds members with True for ascending. All of them apply to rows that the user may see.
+    """
+    filters = filters or {}
+    members = [*measures, *(dimensions or []), *filters]
     cube = semantic.cube_of(members)
     rows = secure(bases[cube.name], lookup(permissions, username), cube)
+    for name, values in filters.items():
+        rows = rows.filter(semantic.dimension(cube, name.split(".", 1)[1]).isin(list(values)))
+    if time_range is not None:
+        day = F.col(cube.dimensions[cube.time])
+        rows = rows.filter(between(day, *[F.lit(t).cast("date") for t in time_range]))
 
     def short(names: list[str]) -> list[str]:
         return [n.split(".", 1)[1] for n in names]
 
-    return semantic.query(rows, cube, short(measures), short(dimensions or []))
+    result = semantic.query(rows, cube, short(measures), short(dimensions or []))
+    if order:
+        by = zip(short([member for member, _ in order]), (ascending for _, ascending in order))
+        result = result.orderBy(*[F.col(n).asc() if ascending else F.col(n).desc() for n, ascending in by])
+    return result if limit is None else result.limit(limit)
 
 
 @dataclass(frozen=True)

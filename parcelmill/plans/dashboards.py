@@ -72,16 +72,14 @@ def filtered(base: DataFrame, filters: dict[str, list] | None) -> DataFrame:
     return base
 
 
-def daily_trend(base: DataFrame, start: str, end: str, limit: int = 500) -> DataFrame:
+def daily_trend(base: DataFrame, start: str, end: str, limit: int | None = None) -> DataFrame:
+    """A row per day; a chart may ask for the first ``limit`` days."""
     day = F.col(SHIPMENTS.dimensions[SHIPMENTS.time])
     rows = base.filter(between(day, F.lit(start).cast("date"), F.lit(end).cast("date")))
     measures = [semantic.measure(SHIPMENTS, m).alias(m) for m in ("totalBookings", "totalRevenue")]
-    return (
-        rows.groupBy(time_bucket(day, "P1D").cast("date").alias("bookingDate"))
-        .agg(*measures)
-        .orderBy("bookingDate")
-        .limit(limit)
-    )
+    days = rows.groupBy(time_bucket(day, "P1D").cast("date").alias("bookingDate")).agg(*measures)
+    days = days.orderBy("bookingDate")
+    return days if limit is None else days.limit(limit)
 
 
 def lane_drilldown(base: DataFrame, page: int = 0, page_length: int = PAGE_LENGTH) -> DataFrame:

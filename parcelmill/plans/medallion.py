@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from parcelmill.functions.cdc import EPOCH_START
 from parcelmill.functions.times import to_utc
-from parcelmill.operators import control, history, merge, payload
-from parcelmill.session import fit_shuffles, stage, tune
+from parcelmill.operators import control, history, payload
+from parcelmill.session import stage, tune
 from parcelmill.sinks import tables
 
 
@@ -58,8 +59,6 @@ class SilverTable:
 class BatchResult:
     read: int
     rejected: int
-    max_event_time: str | None
-    max_offset: int | None
     upserted: int = 0
     history_rows: int = 0
 
@@ -82,7 +81,9 @@ def apply_batch(
     All three sinks may be run again with the same slice.
     """
     spark = bronze.sparkSession
-    classified, schema = payload.classify(bronze, table.keys, schema)
+    old_value, old_rows = tables.read_snapshot(spark, table.value), tables.read_snapshot(spark, table.history)
+    first = full_refresh or old_value is None or old_rows is None
+    classified, schema = payload.classify(bronze, table.keys, schema, None if first else old_rows.schema)
     classified, seen = _observed(classified, *control.batch_metrics())
     parsed = stage(classified, "parsed")
     result = BatchResult(**seen.get)
@@ -98,12 +99,16 @@ def apply_batch(
     valid = payload.valid_rows(parsed, schema, units)
     stamp = F.lit(datetime.now(timezone.utc))
     changed = F.count_if(F.col("ingested_at") == stamp).alias("n")
-    old_value, old_rows = tables.read_snapshot(spark, table.value), tables.read_snapshot(spark, table.history)
-    if full_refresh or old_value is None or old_rows is None:
-        value = merge.apply_value(None, valid, table.keys, stamp=stamp)
-        rows = history.build_history(valid, table.keys, stamp)
+    # the current state follows the history on every path
+    if first:
+        rows = stage(history.build_history(valid, table.keys, stamp), "history")
+        value = history.current_state(rows)
     else:
-        kept, rebuilt = history.rebuild(old_rows, valid, table.keys, stamp)
+        fresh = history.fresh_events(old_rows, valid, table.keys, stamp)
+        if fresh.isEmpty():
+            return result
+        kept, rebuilt = history.rebuild_from(old_rows, fresh, table.keys)
+        rebuilt = stage(rebuilt, "rebuilt")
         value = history.refresh_value(old_value, rebuilt, table.keys)
         rows = history.join_up(kept, rebuilt)
     value, upserted = _observed(value, changed)
@@ -127,34 +132,50 @@ def run_medallion(
 ) -> list[dict]:
     """Process one table or all of them; returns the lineage records.
 
+    A run takes every message beyond the last processed offset of its log partition, however old its event
+    time. An explicit window takes the messages with an event time in it, processed or not; a cutoff then moves
+    only up to the first message that the window left out.
+
     Watermarks are read once and written once, after the sinks of every table have succeeded, so a
     job that dies is simply run again. A table that is not registered is skipped. A full refresh
     rebuilds from Bronze alone and therefore drops a bulk-loaded baseline.
     """
     schemas = schemas or {}
     tune(spark)
-    fit_shuffles(spark, lake.bronze)
     stored = tables.read_snapshot(spark, lake.watermarks)
     marks = {} if stored is None else control.load_watermarks(stored)
     bronze = spark.read.parquet(lake.bronze)
 
     def process(name: str) -> dict | None:
         started = time.time()
-        mark = marks.get(name, {}).get("last_processed_ts")
+        own = marks.get(name, {})
+        mark = max((m["last_processed_ts"] for m in own.values()), default=None)
         start, end = control.batch_window(mark, from_ts, to_ts, full_refresh)
-        batch = control.window_slice(bronze, lake.topic(name), start, end)
+        pending = control.after_cutoffs(
+            bronze, lake.topic(name), {p: m["last_processed_offset"] for p, m in own.items()}
+        )
+        replay = full_refresh or from_ts is not None
+        if replay:
+            taken = control.in_window(start, end)
+        else:
+            taken = F.lit(True) if to_ts is None else control.in_window(EPOCH_START, to_ts)
+        batch = control.window_slice(bronze, lake.topic(name), start, end) if replay else pending.filter(taken)
         if batch.isEmpty():
             return None
+        # taken before the batch: a message that lands meanwhile stays beyond the cutoff
+        cutoffs = control.next_cutoffs(pending, taken)
         result = apply_batch(batch, lake.table(name, registry[name]), schemas.get(name), full_refresh)
         now = datetime.now(timezone.utc)
         batch_id = f"BATCH-{name}-{now:%Y%m%d%H%M%S}"
-        # a batch over an old window never moves the watermark back
-        if result.max_event_time is not None and result.max_event_time >= (mark or ""):
-            marks[name] = {
-                "last_processed_ts": result.max_event_time,
-                "last_processed_offset": result.max_offset or 0,
+        # what was read is bounded by the offsets seen before the batch; a cutoff never moves back
+        for partition, (at, offset) in cutoffs.items():
+            old = own.get(partition, {"last_processed_ts": EPOCH_START, "last_processed_offset": -1})
+            own[partition] = {
+                "last_processed_ts": max(at or EPOCH_START, old["last_processed_ts"]),
+                "last_processed_offset": max(offset, old["last_processed_offset"]),
                 "last_batch_id": batch_id,
             }
+        marks[name] = own
         return {
             "batch_id": batch_id,
             "table_name": name,

@@ -15,14 +15,22 @@ SORT = ["BOOKING_DATE", "BOOKING_ID"]
 
 def loadable(wide: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Rows with all required columns, stamped with the load time."""
-    present = F.col(REQUIRED[0]).isNotNull()
-    for column in REQUIRED[1:]:
-        present = present & F.col(column).isNotNull()
-    return wide.filter(present).withColumn(
+    return wide.filter(F.size(_missing()) == 0).withColumn(
         "olap_loaded_at", F.current_timestamp() if loaded_at is None else loaded_at
     )
 
 
+def rejects(wide: DataFrame) -> DataFrame:
+    """The rows that ``loadable`` leaves out, with the columns that they lack."""
+    return wide.withColumn("error_reason", F.concat(F.lit("MISSING "), F.array_join(_missing(), ","))).filter(
+        F.size(_missing()) > 0
+    )
+
+
+def _missing() -> Column:
+    return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED]))
+
+
 def incremental(wide: DataFrame, base: DataFrame) -> DataFrame:
     """Rows at or above the newest stamp already loaded; a row at the bound is loaded again and the
     view drops the copy."""

@@ -29,7 +29,6 @@ def query(name: str, oracle: str | None = None):
         @wraps(fn)
         def call(spark: SparkSession, sf: str) -> DataFrame:
             session.tune(spark)
-            session.fit_shuffles(spark, sf)
             return edge(fn(spark, sf))
 
         QUERIES[name] = call

@@ -192,11 +192,16 @@ def _(spark, sf):
     with_(
         "messages",
         """SELECT concat('cdc.', upper(event_type)) AS table_name, op, event_id AS kafka_offset, ts_ms AS event_ms,
-       concat('{"op":"', op, '","ts_ms":', ts_ms) AS raw_sample FROM messages ORDER BY event_id DESC LIMIT 5""",
+       substr(concat('{"op":"', op, '","ts_ms":', ts_ms, ',"before":', CASE WHEN op = 'd' THEN image ELSE 'null' END,
+                     ',"after":', CASE WHEN op <> 'd' THEN image ELSE 'null' END, '}'), 1, 100) AS raw_sample
+FROM (SELECT *, CASE WHEN faulty AND op = 'd' THEN 'null'
+                     ELSE concat('{"ID":', CASE WHEN faulty THEN 'null' ELSE CAST(user_id AS VARCHAR) END,
+                                 ',"STATUS":"', event_type, '","AMOUNT":', CAST(value AS VARCHAR), '}') END AS image
+      FROM messages) t ORDER BY event_id DESC LIMIT 5""",
     ),
 )
 def _(spark, sf):
-    rows = changes.latest_messages(topics_bronze(spark, sf), 5, preview=31)
+    rows = changes.latest_messages(topics_bronze(spark, sf), 5)
     return rows.select("table_name", "op", "kafka_offset", ms("event_time").alias("event_ms"), "raw_sample")
 
 

@@ -42,7 +42,7 @@ GROUP BY BOOKING_DATE ORDER BY BOOKING_DATE LIMIT 500"""
     ),
 )
 def _(spark, sf):
-    return dashboards.daily_trend(stored_wide(spark, sf), "1997-01-01", "1998-01-01")
+    return dashboards.daily_trend(stored_wide(spark, sf), "1997-01-01", "1998-01-01", limit=500)
 
 
 def _lane_sql(offset: int) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelmill.operators import security
 from parcelmill.operators.security import Clause, ClauseRules
-from parcelmill.plans import domain
+from parcelmill.plans import domain, semantic
 from parcelmill.registry.base import query, stored
 from parcelmill.registry.gold import stored_wide
 from parcelmill.registry.semantic import measures_sql
@@ -22,22 +22,52 @@ def permissions(spark, sf):
     return spark.read.parquet(stored(spark, sf, "permissions", write))
 
 
-def _as_user(spark, sf, username, measures, dimensions=None):
+def _as_user(spark, sf, username, measures, dimensions=None, **clauses):
     bases = {"Shipments": stored_wide(spark, sf), "DriverShifts": domain.driver_shifts(spark, sf)}
-    return security.secured_query(bases, permissions(spark, sf), username, measures, dimensions)
+    return security.secured_query(bases, permissions(spark, sf), username, measures, dimensions, **clauses)
+
+
+LOOKED_UP = ["manager_asia", "admin_asia", "idle_asia", "nobody"]
 
 
 @query(
     "rls_lookup",
     with_(
         "permissions",
-        "SELECT username, role, array_to_string(province_access, ',') AS province_access FROM permissions",
+        f"""SELECT u AS username, coalesce(role, 'GUEST') AS role,
+       coalesce(array_to_string(list_sort(province_access), ','), '') AS province_access
+FROM (SELECT unnest({LOOKED_UP}) AS u) LEFT JOIN permissions ON username = u""",
     ),
 )
 def _(spark, sf):
-    """The permission matrix that single users are looked up in."""
-    return domain.permissions(spark, sf).select(
-        "username", "role", F.array_join("province_access", ",").alias("province_access")
+    """What single users are given, an unknown one too."""
+    found = [security.lookup(permissions(spark, sf), u) for u in LOOKED_UP]
+    rows = [(a.username, a.role, ",".join(sorted(a.provinces))) for a in found]
+    return spark.createDataFrame(rows, "username string, role string, province_access string")
+
+
+@query(
+    "rls_chart",
+    obt(
+        f"""SELECT SENDING_PROVINCE AS "sendingProvince", {measures_sql("totalBookings", "totalRevenue")} FROM obt
+WHERE SENDING_PROVINCE IN (SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')
+  AND STATUS_GROUP IN ('COMPLETED', 'FAILED')
+  AND BOOKING_DATE >= DATE '1997-01-01' AND BOOKING_DATE < DATE '1998-01-01'
+GROUP BY ALL ORDER BY "totalRevenue" DESC LIMIT 3"""
+    ),
+)
+def _(spark, sf):
+    """A chart with filters, time range, order and limit, as a regional manager."""
+    return _as_user(
+        spark,
+        sf,
+        "manager_asia",
+        ["Shipments.totalBookings", "Shipments.totalRevenue"],
+        ["Shipments.sendingProvince"],
+        filters={"Shipments.statusGroup": ["COMPLETED", "FAILED"]},
+        time_range=("1997-01-01", "1998-01-01"),
+        order=[("Shipments.totalRevenue", False)],
+        limit=3,
     )
 
 
@@ -91,7 +121,7 @@ GROUP BY SENDING_PROVINCE"""
 def _(spark, sf):
     """The same rule as a semi join with the permission table."""
     rows = security.secure_by_table(
-        stored_wide(spark, sf), permissions(spark, sf), "manager_europe", "SENDING_PROVINCE"
+        stored_wide(spark, sf), permissions(spark, sf), "manager_europe", semantic.SHIPMENTS
     )
     return rows.groupBy("SENDING_PROVINCE").agg(F.count(F.lit(1)).alias("n"))
 

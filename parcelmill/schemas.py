@@ -79,7 +79,7 @@ DLQ = (
     "error_reason string, quarantined_at timestamp, raw_value string"
 )
 WATERMARKS = (
-    "table_name string, last_processed_ts string, last_processed_offset long, "
+    "table_name string, kafka_partition int, last_processed_ts string, last_processed_offset long, "
     "last_batch_id string, updated_at timestamp"
 )
 LINEAGE = (

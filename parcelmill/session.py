@@ -23,15 +23,6 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-MIB = 1024 * 1024
-# Input bytes per shuffle partition; AQE merges partitions that turn out small. A shuffle has
-# (map tasks x partitions) blocks to keep track of, so beyond the cap partitions grow and spill, and
-# the scan makes fewer, larger map tasks.
-SHUFFLE_BYTES = 128 * MIB
-MAX_SHUFFLE_PARTITIONS = 32_768
-MAX_SCAN_TASKS = 200_000
-SCAN_BYTES = (128 * MIB, 1024 * MIB)
-
 _local_scratch: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -48,22 +39,6 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(root).getLength()
 
 
-def sizing(input_size: int) -> tuple[int, int]:
-    """Shuffle partitions and bytes per scan task for an input of this size."""
-    partitions = min(-(-input_size // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
-    low, high = SCAN_BYTES
-    return partitions, min(max(input_size // MAX_SCAN_TASKS, low), high)
-
-
-def fit_shuffles(spark: SparkSession, path: str) -> None:
-    """Raise shuffle partitions and scan sizes to the input; never lower what the session has set."""
-    partitions, scan = sizing(input_bytes(spark, path))
-    if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    if scan > SCAN_BYTES[0]:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor sees: ``spark.checkpoint.dir``, or a local one in local mode only."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(

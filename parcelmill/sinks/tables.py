@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,21 @@ def snapshot_dir(spark: SparkSession, path: str) -> str | None:
     fs, pointers = _fs(spark, f"{path}/{POINTER}")
     if not fs.exists(pointers):
         return None
-    # one empty file per switch, named <sequence>.<snapshot>; the highest sequence is current
-    names = [s.getPath().getName() for s in fs.listStatus(pointers)]
-    return f"{path}/{max(names).split('.', 1)[1]}" if names else None
+    # one file per switch, named by its sequence, that holds the snapshot's name; the highest one is current
+    switches = [s for s in fs.listStatus(pointers) if s.getLen() and not s.getPath().getName().startswith(".")]
+    return f"{path}/{_named(fs, max(switches, key=_sequence))}" if switches else None
+
+
+def _sequence(status) -> int:
+    return int(status.getPath().getName())
+
+
+def _named(fs, status) -> str:
+    stream = fs.open(status.getPath())
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
@@ -46,14 +59,25 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     that dies half-way leaves the old snapshot in place.
     """
     spark = df.sparkSession
-    name = f"snapshot-{uuid.uuid4().hex}"
+    name, last = f"snapshot-{uuid.uuid4().hex}", last_switch(spark, path)
     df.write.partitionBy(*(partition_by or [])).parquet(f"{path}/{name}")
+    switch(spark, path, name, last)
+
+
+def last_switch(spark: SparkSession, path: str) -> int:
     fs, pointers = _fs(spark, f"{path}/{POINTER}")
-    fs.mkdirs(pointers)
-    last = max([int(s.getPath().getName().split(".", 1)[0]) for s in fs.listStatus(pointers)], default=0)
-    _, pointer = _fs(spark, f"{path}/{POINTER}/{last + 1:012d}.{name}")
-    if not fs.createNewFile(pointer):
-        raise RuntimeError(f"another writer replaced {path}")
+    return max([_sequence(s) for s in fs.listStatus(pointers)], default=0) if fs.exists(pointers) else 0
+
+
+def switch(spark: SparkSession, path: str, name: str, last: int) -> None:
+    """Make snapshot ``name`` current, if no other switch followed number ``last``."""
+    fs, pointer = _fs(spark, f"{path}/{POINTER}/{last + 1:012d}")
+    try:
+        stream = fs.create(pointer, False)
+    except Py4JJavaError as error:
+        raise RuntimeError(f"another writer replaced {path}") from error
+    stream.writeUTF(name)
+    stream.close()
 
 
 def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> int:
@@ -62,10 +86,10 @@ def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> int:
     Run it when no reader can still hold an older one.
     """
     fs, pointers = _fs(spark, f"{path}/{POINTER}")
-    old = sorted(s.getPath().getName() for s in fs.listStatus(pointers))[:-keep]
-    for name in old:
-        fs.delete(_fs(spark, f"{path}/{name.split('.', 1)[1]}")[1], True)
-        fs.delete(_fs(spark, f"{path}/{POINTER}/{name}")[1], False)
+    old = sorted(fs.listStatus(pointers), key=_sequence)[:-keep]
+    for status in old:
+        fs.delete(_fs(spark, f"{path}/{_named(fs, status)}")[1], True)
+        fs.delete(status.getPath(), False)
     return len(old)
 
 

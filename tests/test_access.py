@@ -157,3 +157,22 @@ def test_expression_dimension_and_offset(bases):
         metrics=["count"], groupby=[Expr("TOTAL_REVENUE % 5", "r")], orderby=[("r", True)], row_limit=2, row_offset=1
     )
     assert [tuple(r) for r in dq.run(ds(bases), q).collect()] == [(1, 5), (2, 4)]
+
+
+def test_both_forms_of_row_security_agree(spark):
+    base = spark.createDataFrame([("N",), ("S",), (None,)], "SENDING_PROVINCE string")
+    grants = [
+        ("admin", security.ADMIN, []), ("every", security.MANAGER, [security.ALL]), ("north", security.MANAGER, ["N", "X"]),
+        ("none", security.MANAGER, []), ("null", security.MANAGER, None), ("guest", security.GUEST, ["N"]), ("odd", None, ["N"]),
+        ("driver", security.DRIVER, ["N"]), ("all_guest", security.GUEST, [security.ALL]),
+    ]
+    table = spark.createDataFrame(grants, "username string, role string, province_access array<string>")
+    for user in [g[0] for g in grants] + ["unknown"]:
+        def rows(secured):
+            try:
+                return sorted(str(r[0]) for r in secured().collect())
+            except PermissionError:
+                return "refused"
+
+        plain = rows(lambda: security.secure(base, security.lookup(table, user), semantic.SHIPMENTS))
+        assert rows(lambda: security.secure_by_table(base, table, user, semantic.SHIPMENTS)) == plain, user

@@ -111,11 +111,11 @@ def test_schema_covers_every_row(spark):
     assert types == {"ID": "bigint", "X": "string", "NEW": "double", "BIG": "decimal(20,0)"}
 
 
-def test_wrong_type_of_one_field_is_null(spark):
+def test_wrong_type_of_one_field_is_rejected(spark):
     schema = StructType.fromDDL("ID string, V bigint")
-    valid = payload.split(bronze(spark, '{"op":"c","ts_ms":1,"after":{"ID":"A","V":"many"}}'), ["ID"], schema).valid
-    row = valid.first()
-    assert (row["ID"], row["V"]) == ("A", None)
+    parts = payload.split(bronze(spark, '{"op":"c","ts_ms":1,"after":{"ID":"A","V":"many"}}'), ["ID"], schema)
+    assert parts.valid.count() == 0
+    assert parts.rejects.first()["error_reason"] == payload.TYPE_CONFLICT
 
 
 def test_epoch_units(spark):

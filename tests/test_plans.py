@@ -128,14 +128,6 @@ def test_partition_merge_with_null_and_odd_names(spark, tmp_path):
     assert got == {1: "z", 2: None, 3: None, 4: "z"}
 
 
-def test_sizing_follows_the_input():
-    tib = 2**40
-    assert session.sizing(10**6) == (1, 128 * session.MIB)
-    assert session.sizing(tib)[0] == 8192
-    partitions, scan = session.sizing(100 * tib)
-    assert partitions == session.MAX_SHUFFLE_PARTITIONS and 128 * session.MIB < scan <= 1024 * session.MIB
-
-
 def test_hot_topic_is_split_by_the_rebalance(spark, tmp_path):
     """A partition that holds most rows is written by several tasks."""
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
