@@ -93,7 +93,8 @@ def repeats(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int =
         texts.join(wants, "uid").select("doc_id", "uid", "text", "wants"), bodies, "doc_id long, uid long, line int, digest long, body string"
     )
     suspects = session.stage(suspects, "suspect-chunks")
-    first = suspects.groupBy("digest", "body").agg(F.min("doc_id").alias("first"))
+    first = suspects.groupBy("digest", "body").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = session.stage(first.drop("n"), "first-chunks")
     return suspects.join(first, ["digest", "body"]).filter("NOT doc_id <=> first").select("uid", "line").distinct()
 
 
