@@ -26,6 +26,7 @@ BUILDS = {
     "build_warehouse_base": gold.stored_base,
     "build_silver_parse": cdc.parsed_users,
     "build_silver_lake": control.stored_lake,
+    "build_bulk_load": cdc.bulk_loaded,
 }
 
 HEADLINE = [

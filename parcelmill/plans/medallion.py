@@ -204,10 +204,14 @@ def run_medallion(
 
 
 def bulk_initial_load(
-    snapshots: dict[str, DataFrame], lake: Lake, registry: dict[str, list[str]], zone: str = "UTC"
+    snapshots: dict[str, DataFrame],
+    lake: Lake,
+    registry: dict[str, list[str]],
+    zone: str = "UTC",
+    loaded_at: datetime | None = None,
 ) -> None:
     """Both Silver targets of each table from a bulk snapshot of the source."""
-    loaded_at = F.lit(datetime.now(timezone.utc))
+    loaded_at = F.lit(loaded_at or datetime.now(timezone.utc))
     for name, snapshot in snapshots.items():
         target = lake.table(name, registry[name])
         rows = stage(to_utc(snapshot, zone), f"bulk-{name.lower()}")

@@ -7,6 +7,7 @@ updates it, a sign-up creates it, an error deletes it.
 from __future__ import annotations
 
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from parcelmill.functions import cdc
 from parcelmill.functions.shape import align_to, evolve_union
 from parcelmill.functions.times import between, normalize_epochs, to_utc
 from parcelmill.operators import control, dedup, history, merge, payload
-from parcelmill.plans import domain
+from parcelmill.plans import domain, medallion
 from parcelmill.registry.base import query, stored
 from parcelmill.registry.sql import with_
 from parcelmill.sinks import tables
@@ -555,22 +556,44 @@ def _(spark, sf):
     return history_out(history.as_of(full_history(spark, sf), F.timestamp_millis(F.lit(1705320000000))))
 
 
+def bulk_loaded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Value and history of the orders after the bulk job."""
+    registry = {"ORDERS": ["ORDER_ID"]}
+
+    def lake_at(path: str) -> medallion.Lake:
+        return medallion.Lake(f"{path}/bronze", f"{path}/silver", f"{path}/quarantine", f"{path}/control")
+
+    def write(path: str) -> None:
+        orders = domain.table(spark, sf, "orders").select(
+            F.col("o_orderkey").alias("ORDER_ID"),
+            F.col("o_orderstatus").alias("STATUS"),
+            F.col("o_orderdate").cast("timestamp").alias("ORDERED_AT"),
+        )
+        at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+        medallion.bulk_initial_load({"ORDERS": orders}, lake_at(path), registry, "Asia/Ho_Chi_Minh", at)
+
+    return medallion.silver_tables(spark, lake_at(stored(spark, sf, "bulk", write)), registry)["ORDERS"]
+
+
+@query(
+    "bulk_initial_value",
+    """SELECT o_orderkey AS ORDER_ID, o_orderstatus AS STATUS, epoch_us(o_orderdate) // 1000 - 25200000 AS ordered_ms
+       FROM orders""",
+)
+def _(spark, sf):
+    value, _ = bulk_loaded(spark, sf)
+    return value.select("ORDER_ID", "STATUS", ms("ORDERED_AT").alias("ordered_ms"))
+
+
 @query(
     "bulk_initial_load",
     """SELECT o_orderkey AS ORDER_ID, o_orderstatus AS STATUS, epoch_us(o_orderdate) // 1000 - 25200000 AS ordered_ms,
        1704067200000 AS from_ms, 253402300799000 AS to_ms, 1 AS is_current FROM orders""",
 )
 def _(spark, sf):
-    """History baseline of the orders, whose times are wall-clock times seven hours ahead."""
-    orders = domain.table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("ORDER_ID"),
-        F.col("o_orderstatus").alias("STATUS"),
-        F.col("o_orderdate").cast("timestamp").alias("ORDERED_AT"),
-    )
-    rows = history.baseline_history(
-        to_utc(orders, "Asia/Ho_Chi_Minh"), F.lit("2024-01-01 00:00:00").cast("timestamp")
-    )
-    return history.public_history(rows).select(
+    """History that the bulk job wrote for the orders, whose times are wall-clock times seven hours ahead."""
+    _, rows = bulk_loaded(spark, sf)
+    return rows.select(
         "ORDER_ID",
         "STATUS",
         ms("ORDERED_AT").alias("ordered_ms"),
