@@ -192,7 +192,8 @@ def scores(docs: DataFrame, train, order: int = ORDER, strength: float = STRENGT
         return _score(docs_, answers, order, shards, strength, n_total, n_distinct)
 
     # both uses of the blocks share one exchange
-    blocked = marked.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    # the text is hashed too, so that rows with one id, or none, are spread
+    blocked = marked.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     asked = blocked.groupBy("block").applyInArrow(ask, QUESTION)
     answers = asked.groupBy("gram", "shard").applyInArrow(_answers, ANSWER)
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORES)

@@ -98,30 +98,38 @@ def repeats(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int =
     return suspects.join(first, ["digest", "body"]).filter("NOT doc_id <=> first").select("uid", "line").distinct()
 
 
-def clean_lines(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int = EVERY) -> DataFrame:
+COUNTS = ("n_lines", "n_removed")
+
+
+def clean_lines(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int = EVERY, counts: bool = True) -> DataFrame:
     """All columns of the documents, with shorter texts, and ``n_lines``, ``n_removed`` (lines) as counts.
 
-    ``n_chars``, where there is one, follows the text.
+    ``n_chars``, where there is one, follows the text. The counts take the place of columns of their names;
+    without ``counts`` the columns are those of the input.
     """
     dropped = repeats(docs, least, span, every).groupBy("uid").agg(F.collect_list("line").alias("gone"))
-    columns = docs.columns
-    source = docs.withColumns({"__uid": _uid()}).join(dropped.select(F.col("uid").alias("__uid"), F.col("gone").alias("__gone")), "__uid", "left")
+    columns = [c for c in docs.columns if not (counts and c.lower() in COUNTS)]
+    uid, gone = (tasks.unused(name, docs.columns) for name in ("uid", "gone"))
+    source = docs.withColumn(uid, _uid()).join(dropped.select(F.col("uid").alias(uid), F.col("gone").alias(gone)), uid, "left")
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, total, removed, chars = [], [], [], []
-        for text, gone in zip(batch["text"].to_pylist(), batch["__gone"].to_pylist()):
+        for text, lost in zip(batch["text"].to_pylist(), batch[gone].to_pylist()):
             if text is None:
                 texts.append(None), total.append(0), removed.append(0), chars.append(None)
                 continue
             lines, found = first_chunks(text, least, span, every)
-            drop = [p for places in found.values() for i, p in enumerate(places) if i or (gone and places[0][0] in gone)]
+            drop = [p for places in found.values() for i, p in enumerate(places) if i or (lost and places[0][0] in lost)]
             n = len(lines)
             for a, b in sorted(drop, reverse=True):
                 del lines[a:b]
             kept = b"\n".join(lines).decode() if drop else text
             texts.append(kept), total.append(n), removed.append(n - len(lines)), chars.append(len(kept))
         arrays = [pa.array(texts, pa.string()) if c == "text" else pa.array(chars).cast(batch[c].type) if c == "n_chars" else batch[c] for c in columns]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(total, pa.int64()), pa.array(removed, pa.int64())], [*columns, "n_lines", "n_removed"])
+        added = [pa.array(total, pa.int64()), pa.array(removed, pa.int64())] if counts else []
+        return pa.RecordBatch.from_arrays([*arrays, *added], [*columns, *COUNTS[: len(added)]])
 
-    kinds = source.select(*columns).schema.add("n_lines", "long").add("n_removed", "long")
-    return tasks.per_batch(source.select(*columns, "__gone"), each, kinds)
+    kinds = source.select(*columns).schema
+    for name in COUNTS if counts else ():
+        kinds = kinds.add(name, "long")
+    return tasks.per_batch(source.select(*columns, gone), each, kinds)

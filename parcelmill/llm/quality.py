@@ -4,7 +4,8 @@ A document is a bag of passages. Every passage of ``passage_words`` words is enc
 words look like; a gated attention gives each passage a weight, and the weighted mean of the passages' hidden
 vectors gives the document's probability. Attention and classifier are learned together from document labels,
 by gradient descent on a bounded sample of labelled documents (``sample`` of them, those whose ids hash
-lowest); the weights that result are a few hundred numbers. All documents are scored, over their whole texts.
+lowest, each by at most ``TRAIN_PASSAGES`` passages spread evenly over its whole text); the weights that result
+are a few hundred numbers. All documents are scored, over all passages of their whole texts.
 
 Defined cases: a null or wordless text is one empty passage; unlabelled documents are scored like all others;
 several labels of a document each count; labels without a document, and null labels, are ignored; with no
@@ -25,6 +26,7 @@ from parcelmill.llm.words import Words, pieces, text_bytes
 
 PASSAGE_WORDS = 48
 SAMPLE = 6_000
+TRAIN_PASSAGES = 1_000  # of one sampled document; with SAMPLE, the bound of what the driver trains on: 360 MB
 HIDDEN = 16
 THRESHOLD = 0.7
 
@@ -154,6 +156,11 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = HIDDEN, rounds
     return model
 
 
+def spread(begin: int, end: int, most: int = TRAIN_PASSAGES) -> np.ndarray:
+    """All places from begin to before end, or ``most`` of them at even distances."""
+    return np.arange(begin, end) if end - begin <= most else begin + np.arange(most) * (end - begin) // most
+
+
 def train(docs: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE, passage_words: int = PASSAGE_WORDS) -> Model:
     """A model from at most ``sample`` labelled documents for which ``use`` holds."""
     known = labels.filter(use & F.col("quality").isNotNull()).select("doc_id", "quality")
@@ -161,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE,
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, first = encode(batch["text"], passage_words)
-        bags = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+        bags = [x[spread(a, b)].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
         return pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), batch["quality"].cast(pa.int32()), pa.array(bags, pa.binary())], ["doc_id", "quality", "bag"])
 
     chosen = tasks.texts(docs).join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")  # at most ``sample`` rows

@@ -39,6 +39,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A name like this one that none of the columns has, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``fn`` on each Arrow batch."""
 

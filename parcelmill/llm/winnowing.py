@@ -8,8 +8,8 @@ an item's, the hit is extended: all windows that hold the gram are looked up and
 shorter than a window have one fingerprint, of all their words.
 
 The items are looked up from a broadcast while their windows are at most ``most_windows``; beyond it the
-fingerprints of both sides are joined by a shuffle, and only documents with a common one meet items. Both give
-the same rows.
+fingerprints of both sides are joined by a shuffle, and so are the windows around the common ones. Both give the
+same rows.
 
 Defined cases: a null or wordless text has no words, no hit and isn't contaminated; items without words, and
 null ones, match nothing; repeated items each count, an equal ``item_id`` is listed once; repeated documents
@@ -23,9 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelmill import session
 from parcelmill.llm import tasks
 from parcelmill.llm.words import ALPHANUMERIC, Words, covered, pieces, ragged, sliding_min, text_bytes, window_hashes
 
@@ -152,7 +154,7 @@ def judge(ids: pa.Array, texts: pa.Array, items: Items, window: int, gram: int)
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, most_windows: int = MOST_WINDOWS) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document."""
     docs = tasks.texts(docs)
-    items = benchmark.select("item_id", "text").filter("text IS NOT NULL")
+    items = benchmark.select("item_id", "text").filter("text <> ''")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # an item has at most a word for every two bytes, and no more windows than words
     return (_broadcast if size // 2 <= most_windows else _joined)(docs, items, window, gram)
@@ -167,14 +169,14 @@ def _broadcast(docs: DataFrame, items: DataFrame, window: int, gram: int) -> Dat
 
 
 def _prints(df: DataFrame, key: str, window: int, gram: int, short: list[int] | None) -> DataFrame:
-    """``key, length, print``: winnowed grams (length ``window``) and whole runs of fewer words.
+    """``key, length, print, place``: winnowed grams (length ``window``) and whole runs of fewer words.
 
     Items give a run only if it is the whole of them; documents give those of the lengths asked for.
     """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, at = text_bytes(batch["text"])
-        keys, lengths, prints = [], [], []
+        keys, lengths, prints, places = [], [], [], []
         own = batch[key].to_numpy(zero_copy_only=False)
         for i, _, d, a in pieces(data, at):
             words = Words(d, a, ALPHANUMERIC, lower=True)
@@ -192,32 +194,89 @@ def _prints(df: DataFrame, key: str, window: int, gram: int, short: list[int] |
                 keys.append(own[document[place] + i])
                 lengths.append(np.full(len(place), length, np.int32))
                 prints.append(values.view(np.int64))
-        empty = (np.zeros(0, own.dtype), np.zeros(0, np.int32), np.zeros(0, np.int64))
-        arrays = [pa.array(np.concatenate([e, *x])) for e, x in zip(empty, (keys, lengths, prints))]
-        return pa.RecordBatch.from_arrays(arrays, [key, "length", "print"])
+                places.append((place - words.first[document[place]]).astype(np.int32))
+        empty = (np.zeros(0, own.dtype), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        arrays = [pa.array(np.concatenate([e, *x])) for e, x in zip(empty, (keys, lengths, prints, places))]
+        return pa.RecordBatch.from_arrays(arrays, [key, "length", "print", "place"])
 
-    return tasks.per_batch(df, each, f"{key} long, length int, print long").distinct()
+    return tasks.per_batch(df, each, f"{key} long, length int, print long, place int")
+
+
+def _digests(words: Words, spans: list[tuple[int, int]]) -> list[bytes]:
+    """Digest of the words of each span of first word and length."""
+    data, starts, ends = words.data, words.starts.tolist(), words.ends.tolist()
+    digest = xxhash.xxh3_128_digest
+    return [digest(b" ".join(data[starts[k] : ends[k]].tobytes() for k in range(i, i + n))) for i, n in spans]
+
+
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """``item_id, digest`` of every window of every item, each once."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, digests = [], []
+        for item_id, text in zip(batch["item_id"].to_pylist(), batch["text"]):
+            words = Words(*text_bytes(pa.array([text])), ALPHANUMERIC, lower=True)
+            length = min(len(words), window)
+            found = set(_digests(words, [(i, length) for i in range(len(words) - length + 1)] if length else []))
+            ids += [item_id] * len(found)
+            digests += found
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(digests, pa.binary())], ["item_id", "digest"])
+
+    return tasks.per_batch(items, each, "item_id string, digest binary").distinct()
+
+
+def _around(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """``row, start, length, digest`` of the windows around the fingerprints (``prints``) of each document."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: tuple[list, ...] = ([], [], [], [])
+        for row, text, prints in zip(batch["row"].to_pylist(), batch["text"], batch["prints"].to_pylist()):
+            words = Words(*text_bytes(pa.array([text])), ALPHANUMERIC, lower=True)
+            spans = set()
+            for p in prints:
+                back = window - gram if p["length"] == window else 0
+                spans.update((i, p["length"]) for i in range(p["place"] - back, p["place"] + 1) if 0 <= i <= len(words) - p["length"])
+            spans = sorted(spans)
+            for column, values in zip(out, ([row] * len(spans), [i for i, _ in spans], [n for _, n in spans], _digests(words, spans))):
+                column += values
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["row", "start", "length", "digest"])
+
+    return tasks.per_batch(docs, each, "row long, start int, length int, digest binary")
 
 
 def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
-    """The same for a benchmark of any size: only texts with a common fingerprint meet."""
+    """The same for a benchmark of any size.
+
+    Documents' fingerprints that an item has are found by a semi join, so that a gram in many documents and many
+    items makes no pairs; the windows around them then meet the items' windows by a 128-bit digest of the words.
+    What a document gathers is bounded by its own words and by the items that it holds.
+    """
     docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    items = items.withColumn("item", F.xxhash64("item_id", "text"))
-    theirs = _prints(items.select("item", "text"), "item", window, gram, None)
+    items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("None")).alias("item_id"), "text")
+    theirs = _prints(items.select(F.xxhash64("item_id").alias("item"), "text"), "item", window, gram, None)
+    theirs = session.stage(theirs.select("length", "print").distinct(), "item-prints")
     short = [r.length for r in theirs.filter(F.col("length") < window).select("length").distinct().collect()]
     ours = _prints(docs.select("row", "text"), "row", window, gram, sorted(short))
-    meet = ours.join(theirs, ["length", "print"]).select("row", "item").distinct()
-    texts = meet.join(items.dropDuplicates(["item"]), "item").groupBy("row").agg(F.collect_list(F.struct("item_id", F.col("text").alias("body"))).alias("items"))
+    common = ours.join(theirs, ["length", "print"], "left_semi").groupBy("row").agg(F.collect_set(F.struct("length", "place")).alias("prints"))
+    met = docs.join(common, "row").dropDuplicates(["row"]).select("row", "text", "prints")
+    hits = session.stage(_around(met, window, gram).join(_item_windows(items, window), "digest").drop("digest"), "benchmark-hits")
+    spans = hits.groupBy("row").agg(F.collect_set(F.struct("start", "length")).alias("spans"), F.collect_set("item_id").alias("items"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for i in range(batch.num_rows):
-            mine = batch["items"][i].as_py() or []
-            known = Items.of([x["item_id"] for x in mine], pa.array([x["body"] for x in mine], pa.string()), window, gram)
-            out.append(judge(batch["doc_id"].slice(i, 1), batch["text"].slice(i, 1), known, window, gram))
-        return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if out else None
-
-    return tasks.per_batch(docs.join(texts, "row", "left").select("doc_id", "text", "items"), each, RESULT)
+        out: tuple[list, ...] = ([], [], [], [], [])
+        for text, spans, items in zip(batch["text"], batch["spans"].to_pylist(), batch["items"].to_pylist()):
+            n = len(Words(*text_bytes(pa.array([text], batch["text"].type)), ALPHANUMERIC, lower=True))
+            starts, lengths = (np.array([s[k] for s in spans or ()], np.int64) for k in ("start", "length"))
+            hit = int(covered(n, starts, lengths).sum())
+            digest = hashlib.sha256(",".join(sorted(items or ())).encode()).hexdigest()
+            for column, value in zip(out, (n, hit, len(items or ()), digest, hit > 0 and 20 * hit >= n)):
+                column.append(value)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+        arrays = [batch["doc_id"].cast(pa.int64()), *[pa.array(c, t) for c, t in zip(out, kinds)]]
+        return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in RESULT.split(", ")])
+
+    return tasks.per_batch(docs.join(spans, "row", "left").select("doc_id", "text", "spans", "items"), each, RESULT)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -258,6 +258,11 @@ def test_quality_odd_cases(odd):
     assert kept.columns == odd.columns and kept.count() == sum(r.score >= quality.THRESHOLD for r in rows)
 
 
+def test_training_places_are_spread():
+    assert quality.spread(3, 8).tolist() == [3, 4, 5, 6, 7]
+    assert quality.spread(10, 30, 4).tolist() == [10, 15, 20, 25]
+
+
 # --- 7: contamination
 
 
@@ -333,6 +338,15 @@ def test_clean_lines(docs):
     same([(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()], [(d, *expected[d, t]) for d, t in pairs(docs)])
 
 
+def test_clean_lines_clashing_columns(spark):
+    rows = [(d, "a b\nc\n" * 9, 5, 6, 7, "g") for d in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, uid int, _UID int, gone string")
+    same([(r.doc_id, r.n_lines) for r in lines.clean_lines(docs).collect()], [(1, 19), (2, 19)])
+    plain = lines.clean_lines(docs, counts=False)
+    assert plain.schema == docs.schema
+    assert all((r.n_lines, r.uid, r._UID, r.gone) == (5, 6, 7, "g") for r in plain.collect())
+
+
 def test_cuts_do_not_shift():
     """A line put in above leaves all later cuts where they were."""
     cut = [f"line {i * i % 97}".encode() for i in range(200)]
