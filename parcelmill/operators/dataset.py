@@ -58,6 +58,7 @@ AGGREGATES: dict[str, Callable[[str], Column]] = {
 }
 
 
+# The parameters of a query object, by which clients name them.
 @dataclass
 class DatasetQuery:
     metrics: list[Metric] | None = None
@@ -111,13 +112,13 @@ def metric_column(ds: Dataset, metric: Metric) -> Column:
     if isinstance(metric, Expr):
         return F.expr(metric.sql)
     if metric not in ds.metrics:
-        raise QueryError(f"Metric {metric!r} does not exist")
+        raise QueryError(f"no saved metric is called {metric!r}")
     return ds.metrics[metric]()
 
 
 def _require_column(ds: Dataset, name: str) -> None:
     if name not in ds.rows.columns:
-        raise QueryError(f"Column {name!r} does not exist in dataset")
+        raise QueryError(f"the dataset has no column {name!r}")
 
 
 def dimension_label(dim: Dimension) -> str:
@@ -149,7 +150,7 @@ COMPARISONS: dict[str, Callable[[Column, object], Column]] = {
 
 def _membership(column: Column, values: list, negate: bool) -> Column:
     if not values:
-        raise QueryError("Filter value list cannot be empty")
+        raise QueryError("IN and NOT IN need at least one value")
     listed = [v for v in values if v is not None]
     cond = column.isin(listed) if listed else F.lit(False)
     if len(listed) < len(values):
@@ -201,14 +202,14 @@ def filter_condition(ds: Dataset, flt: Filter, time_shift: str | None = None) ->
                 return column.isNull()
             if op == "!=":
                 return column.isNotNull()
-            raise QueryError("Must specify a value for filters with comparison operators")
+            raise QueryError(f"{op} needs a value to compare with")
         return COMPARISONS[op](column, flt.value)
     if op in ("LIKE", "ILIKE"):
         if flt.value is None:
-            raise QueryError("Must specify a value for filters with comparison operators")
+            raise QueryError(f"{op} needs a value to compare with")
         text = column if isinstance(dtype, StringType) else column.cast("string")
         return text.like(flt.value) if op == "LIKE" else text.ilike(flt.value)
-    raise QueryError(f"Invalid filter operation type: {flt.op}")
+    raise QueryError(f"unknown filter operator {flt.op!r}")
 
 
 # -- the query -------------------------------------------------------------------------------------
@@ -219,10 +220,10 @@ def run(ds: Dataset, query: DatasetQuery) -> DataFrame:
     q = query
     grouped = q.metrics is not None or bool(q.groupby)
     if not (q.metrics or q.groupby or q.columns):
-        raise QueryError("Empty query?")
+        raise QueryError("a query needs metrics, groups or columns")
     time_column = q.granularity or ds.time_column
     if q.is_timeseries and time_column is None:
-        raise QueryError("Datetime column not provided")
+        raise QueryError("a time series needs a time column")
     if q.granularity is not None:
         _require_column(ds, q.granularity)
 
@@ -289,7 +290,7 @@ def _grouped_order(ds: Dataset, q: DatasetQuery, dims: dict, metrics: dict):
             order.append((label, ascending))
             continue
         if isinstance(item, str) and item not in ds.metrics:
-            raise QueryError(f"Unknown column used in orderby: {item}")
+            raise QueryError(f"cannot order by {item!r}: it is no label and no saved metric")
         hidden[f"_order_{label}"] = metric_column(ds, item)
         order.append((f"_order_{label}", ascending))
     return hidden, order
@@ -345,7 +346,7 @@ def virtual_dataset(spark: SparkSession, sql: str, views: dict[str, DataFrame] |
     """
     text = sql.strip().rstrip(";").strip()
     if not text:
-        raise QueryError("Virtual dataset query cannot be empty")
+        raise QueryError("a virtual dataset needs a SELECT")
     for name, view in (views or {}).items():
         view.createOrReplaceTempView(name)
-    return Dataset(spark.sql(f"SELECT * FROM (\n{text}\n) AS virtual_table"), **dataset)
+    return Dataset(spark.sql(f"SELECT * FROM (\n{text}\n) AS selected"), **dataset)

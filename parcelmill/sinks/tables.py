@@ -8,7 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmill.operators.merge import merge_upsert
+from parcelmill.operators.merge import merge_delete, merge_upsert
 from parcelmill.session import stage
 
 POINTER = "_CURRENT"
@@ -105,20 +105,26 @@ def append_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> Non
     append(df.hint("rebalance", *[F.col(c) for c in partition_by]), path, partition_by)
 
 
-def merge_partitions(source: DataFrame, path: str, keys: list[str], partition: str) -> None:
-    """Upsert by key into a partitioned table, rewriting only the partitions it touches.
+def merge_partitions(
+    source: DataFrame, path: str, keys: list[str], partition: str, gone: DataFrame | None = None
+) -> None:
+    """Upsert by key into a partitioned table, rewriting only the partitions it touches; ``gone`` holds keys to delete.
 
     Touched are the partitions of the new rows and those of the rows they replace; their values come
     to the driver, at most one per directory of the table, and prune the scan. The new content is
-    written aside first. A partition that loses all its rows is removed.
+    written aside first. A partition that loses all its rows is removed at the end; until then a reader sees the
+    rows that moved out of it twice.
     """
     spark = source.sparkSession
     source = stage(source, "merge-source")
     target = spark.read.parquet(path)
-    replaced = target.select(*keys, partition).join(source.select(*keys), keys, "left_semi")
+    named = source.select(*keys) if gone is None else source.select(*keys).union(gone.select(*keys))
+    replaced = target.select(*keys, partition).join(named, keys, "left_semi")
     touched = _values(source.select(partition).union(replaced.select(partition)))
     listed = F.col(partition).isin([v for v in touched if v is not None])
     old = target.filter(listed | F.col(partition).isNull() if None in touched else listed)
+    if gone is not None:
+        old = merge_delete(old, gone, keys)
     rows = stage(merge_upsert(old, source, keys), "merge-rows")
     rows.hint("rebalance", F.col(partition)).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
