@@ -1,18 +1,26 @@
-"""Removal of multi-line chunks that repeat anywhere in the corpus.
+"""Removal of multi-line runs that repeat anywhere in the corpus.
 
-A text's lines are cut into chunks by content: a chunk ends after a line where a rolling hash over the last
-``span`` line hashes is a multiple of ``every``. So the same lines give the same cuts wherever they stand, and
-a line put in above shifts no later cut. Chunks of at least ``least`` lines are compared across all documents:
-by digest first, and those whose digest repeats by their bytes. Of equal chunks the first one stays, in the
-document with the smallest ``doc_id``.
+A run is ``least`` or more adjacent lines. A line goes where it lies in a run an equal of which stands earlier:
+in an earlier document, or in the same one and ended before. Each run of ``least`` lines or more is made of
+windows of just ``least`` adjacent lines, and each such window is a run; so the windows at every line are
+compared, by digest first, and those whose digest repeats by their bytes. What they cover is the whole of every
+repeated run, to its first and last line. Documents are ordered by ``doc_id``, null last, and by a hash of id
+and text where ids are equal.
 
-Defined cases: lines end at ``\\n``; a null text has no lines and stays null; chunks of fewer lines and texts
+``clean_lines`` compares sparser pieces instead: chunks that end after a line where a rolling hash over the last
+``span`` line hashes is a multiple of ``every``. The same lines give the same cuts wherever they stand, and a line
+put in above shifts no later cut, but what of a repeated run is no whole chunk stays.
+
+Defined cases: lines end at ``\\n``; an empty line is a line; a null text has no lines and stays null; texts
 without repeats stay as they are; a text may become empty, its row stays; repeated rows (same ``doc_id`` and
-text) are treated alike; a null ``doc_id`` comes after all others; other columns are ignored or passed through.
+text) are treated alike; other columns are ignored or passed through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -48,7 +56,10 @@ def chunks(lines: list[bytes], span: int = SPAN, every: int = EVERY) -> list[tup
     return out
 
 
-def first_chunks(text: str, least: int, span: int, every: int) -> tuple[list[bytes], dict[bytes, list[tuple[int, int]]]]:
+Found = tuple[list[bytes], dict[bytes, list[tuple[int, int]]]]
+
+
+def first_chunks(text: str, least: int, span: int, every: int) -> Found:
     """Lines of a text, and where each different chunk of enough lines stands in it."""
     lines = text.encode().split(b"\n")
     found: dict[bytes, list[tuple[int, int]]] = {}
@@ -58,17 +69,26 @@ def first_chunks(text: str, least: int, span: int, every: int) -> tuple[list[byt
     return lines, found
 
 
+def first_windows(text: str, least: int) -> Found:
+    """Lines of a text, and where each different window of ``least`` adjacent lines stands in it."""
+    lines = text.encode().split(b"\n")
+    found: dict[bytes, list[tuple[int, int]]] = {}
+    for a in range(len(lines) - least + 1):
+        found.setdefault(b"\n".join(lines[a : a + least]), []).append((a, a + least))
+    return lines, found
+
+
 def _uid():
     return F.xxhash64("doc_id", "text").alias("uid")
 
 
-def repeats(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int = EVERY) -> DataFrame:
-    """``uid, line``: a chunk that starts at this line of the text has an equal one in an earlier document."""
+def repeats(docs: DataFrame, find: Callable[[str], Found]) -> DataFrame:
+    """``uid, line``: a piece that starts at this line of the text has an equal one in an earlier document."""
 
     def digests(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = ([], [], [])
         for uid, text in zip(batch["uid"].to_pylist(), batch["text"].to_pylist()):
-            for body, places in first_chunks(text, least, span, every)[1].items():
+            for body, places in find(text)[1].items():
                 for column, value in zip(out, (uid, places[0][0], xxhash.xxh3_64_intdigest(body) - (1 << 63))):
                     column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["uid", "line", "digest"])
@@ -76,7 +96,7 @@ def repeats(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int =
     def bodies(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = ([], [], [], [], [])
         for doc_id, uid, text, wants in zip(*[batch[c].to_pylist() for c in ("doc_id", "uid", "text", "wants")]):
-            lines, found = first_chunks(text, least, span, every)
+            lines, found = find(text)
             ends = {places[0][0]: places[0][1] for places in found.values()}
             for w in wants:
                 for column, value in zip(out, (doc_id, uid, w["line"], w["digest"], b"\n".join(lines[w["line"] : ends[w["line"]]]).decode())):
@@ -93,9 +113,10 @@ def repeats(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: int =
         texts.join(wants, "uid").select("doc_id", "uid", "text", "wants"), bodies, "doc_id long, uid long, line int, digest long, body string"
     )
     suspects = session.stage(suspects, "suspect-chunks")
-    first = suspects.groupBy("digest", "body").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = session.stage(first.drop("n"), "first-chunks")
-    return suspects.join(first, ["digest", "body"]).filter("NOT doc_id <=> first").select("uid", "line").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
+    first = suspects.groupBy("digest", "body").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = session.stage(first.select("digest", "body", F.col("first.uid").alias("first")), "first-chunks")
+    return suspects.join(first, ["digest", "body"]).filter("uid <> first").select("uid", "line").distinct()
 
 
 COUNTS = ("n_lines", "n_removed")
@@ -107,7 +128,16 @@ def clean_lines(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: in
     ``n_chars``, where there is one, follows the text. The counts take the place of columns of their names;
     without ``counts`` the columns are those of the input.
     """
-    dropped = repeats(docs, least, span, every).groupBy("uid").agg(F.collect_list("line").alias("gone"))
+    return _cleaned(docs, partial(first_chunks, least=least, span=span, every=every), counts)
+
+
+def clean_runs(docs: DataFrame, least: int = LEAST, counts: bool = True) -> DataFrame:
+    """The same without every repeated run of ``least`` lines or more."""
+    return _cleaned(docs, partial(first_windows, least=least), counts)
+
+
+def _cleaned(docs: DataFrame, find: Callable[[str], Found], counts: bool) -> DataFrame:
+    dropped = repeats(docs, find).groupBy("uid").agg(F.collect_list("line").alias("gone"))
     columns = [c for c in docs.columns if not (counts and c.lower() in COUNTS)]
     uid, gone = (tasks.unused(name, docs.columns) for name in ("uid", "gone"))
     source = docs.withColumn(uid, _uid()).join(dropped.select(F.col("uid").alias(uid), F.col("gone").alias(gone)), uid, "left")
@@ -118,13 +148,15 @@ def clean_lines(docs: DataFrame, least: int = LEAST, span: int = SPAN, every: in
             if text is None:
                 texts.append(None), total.append(0), removed.append(0), chars.append(None)
                 continue
-            lines, found = first_chunks(text, least, span, every)
-            drop = [p for places in found.values() for i, p in enumerate(places) if i or (lost and places[0][0] in lost)]
-            n = len(lines)
-            for a, b in sorted(drop, reverse=True):
-                del lines[a:b]
-            kept = b"\n".join(lines).decode() if drop else text
-            texts.append(kept), total.append(n), removed.append(n - len(lines)), chars.append(len(kept))
+            lines, found = find(text)
+            drop, lost = set(), set(lost or ())
+            for places in found.values():
+                begin = 0 if places[0][0] in lost else places[0][1]  # one that overlaps the first in its own text stays
+                for a, b in places:
+                    if a >= begin:
+                        drop.update(range(a, b))
+            kept = b"\n".join([x for i, x in enumerate(lines) if i not in drop]).decode() if drop else text
+            texts.append(kept), total.append(len(lines)), removed.append(len(drop)), chars.append(len(kept))
         arrays = [pa.array(texts, pa.string()) if c == "text" else pa.array(chars).cast(batch[c].type) if c == "n_chars" else batch[c] for c in columns]
         added = [pa.array(total, pa.int64()), pa.array(removed, pa.int64())] if counts else []
         return pa.RecordBatch.from_arrays([*arrays, *added], [*columns, *COUNTS[: len(added)]])

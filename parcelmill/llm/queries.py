@@ -87,7 +87,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.clean_lines(_table(spark, sf_dir, "documents"))
+    cleaned = lines.clean_runs(_table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

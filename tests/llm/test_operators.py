@@ -347,6 +347,44 @@ def test_clean_lines_clashing_columns(spark):
     assert all((r.n_lines, r.uid, r._UID, r.gone) == (5, 6, 7, "g") for r in plain.collect())
 
 
+def without_runs(rows: list[tuple[int, str]], least: int) -> list[list[bytes]]:
+    """Lines left of texts in order, by comparing each run of lines with all that stand earlier."""
+    cut, out = [t.encode().split(b"\n") for _, t in rows], []
+    for k, own in enumerate(cut):
+        gone = set()
+        for a in range(len(own)):
+            for j, other in enumerate(cut[: k + 1]):
+                for b in range(len(other) if j < k else a):
+                    n = 0
+                    while a + n < len(own) and b + n < (len(other) if j < k else a) and own[a + n] == other[b + n]:
+                        n += 1
+                    if n >= least:
+                        gone.update(range(a, a + n))
+        out.append([x for i, x in enumerate(own) if i not in gone])
+    return out
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_repeated_runs_go_whole(spark, least):
+    """Every line of every repeated run goes, with its head and tail, and no other; compared with all runs of lines."""
+    rng = np.random.default_rng(7)
+    texts = ["\n".join(f"line {x}" if x else "" for x in rng.zipf(1.3, rng.integers(1, 25)) % 40) for _ in range(60)]
+    texts += ["a\na\na", "a\na\na\na\na", "p\nq\np\nq\np", "x\nhead\none\ntwo\ntail\ny", "z\nhead\none\ntwo\ntail\nw"]
+    rows = list(enumerate(texts)) + [(None, texts[-1])]
+    expected = without_runs(rows, least)
+    got = lines.clean_runs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), least=least).collect()
+    same(
+        [(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got],
+        [(d, b"\n".join(x).decode(), t.count("\n") + 1, t.count("\n") + 1 - len(x)) for (d, t), x in zip(rows, expected)],
+    )
+
+
+def test_runs_of_shared_and_null_ids(spark):
+    rows = [(1, "a\nb\nc"), (1, "x\na\nb"), (None, "u\nv\nk"), (None, "u\nv\nl"), (None, None)]
+    got = lines.clean_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_removed for r in got) == 4 and [r.n_removed for r in got if r.doc_id == 1 or r.text is None].count(2) == 1
+
+
 def test_cuts_do_not_shift():
     """A line put in above leaves all later cuts where they were."""
     cut = [f"line {i * i % 97}".encode() for i in range(200)]
