@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +63,55 @@ def test_near_copies_and_contamination_go(spark, sf):
     docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()} == {1, 4, 5}
     assert {r.doc_id for r in corpus_pipeline.decontamination(spark, docs, sf).collect()} == {1, 2, 3, 5}
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def five(text: str | None) -> frozenset:
+    w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def first_of_groups(rows: list[tuple[int, str]]) -> list[int]:
+    """Smallest ids of the groups that similarities of 0.8 or more make, from all pairs."""
+    root = {d: d for d, _ in rows}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    sets = [(d, five(t)) for d, t in rows]
+    for i, (d, a) in enumerate(sets):
+        for e, b in sets[:i]:
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((find(d), find(e)))
+                root[y] = x
+    return sorted({find(d) for d, _ in rows})
+
+
+def test_near_copies_of_changed_words(spark, sf):
+    """Copies with several words changed go, down to a similarity of 0.8, also along chains; compared with all pairs."""
+    rng, rows = np.random.default_rng(5), []
+    for _ in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 150)]
+        for n in (0, 0, 1, 2, 3, 3, 4, 6, 9):
+            words = list(words)
+            for at in rng.choice(150, n, replace=False):
+                words[at] = f"n{rng.integers(10**9)}"
+            rows.append((int(rng.integers(10**9)), " ".join(words).upper() if n == 1 else " ".join(words)))
+    rows += [(-1, "a b"), (-2, "A  b"), (-3, ""), (-4, None), (-5, "a c")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], COLUMNS).repartition(5)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf).collect())
+    expected = first_of_groups(rows)
+    assert got == expected and 20 < len(expected) < 80
+
+
+def test_one_row_of_shared_and_null_ids_stays(spark, sf):
+    text = " ".join(f"plain{i} words{i * 7 % 31}" for i in range(300))
+    other = " ".join(f"some{i} text{i * 5 % 29}" for i in range(300))
+    rows = [(1, text), (1, text), (None, text), (None, text + " end."), (2, text + " stop."), (None, other), (None, other + " end."), (3, "alone"), (3, "by itself"), (3, "alone")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], COLUMNS)
+    got = sorted((r.doc_id or 0, r.text.split()[0]) for r in corpus_pipeline.near_dedup(spark, docs, sf).collect())
+    assert got == [(0, "some0"), (1, "plain0"), (3, "alone"), (3, "by")]
