@@ -280,6 +280,12 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without the contaminated ones."""
-    found = contamination(docs, benchmark, **options).filter("contaminated").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """The documents without the contaminated ones.
+
+    Each row is judged by its own text, whatever other rows have its ``doc_id``, and a null one is judged too.
+    """
+    uid = tasks.unused("uid", docs.columns)
+    source = docs.withColumn(uid, F.xxhash64("doc_id", "text"))
+    judged = contamination(source.select(F.col(uid).alias("doc_id"), "text"), benchmark, **options)
+    found = judged.filter("contaminated").select(F.col("doc_id").alias(uid)).distinct()
+    return source.join(found, uid, "left_anti").select(docs.columns)

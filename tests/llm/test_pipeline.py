@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.llm import queries
+from parcelmill.llm import queries, winnowing
 from parcelmill.llm.quality import THRESHOLD, scores
 
 
@@ -115,3 +115,14 @@ def test_one_row_of_shared_and_null_ids_stays(spark, sf):
     docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], COLUMNS)
     got = sorted((r.doc_id or 0, r.text.split()[0]) for r in corpus_pipeline.near_dedup(spark, docs, sf).collect())
     assert got == [(0, "some0"), (1, "plain0"), (3, "alone"), (3, "by")]
+
+
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_contaminated_rows_of_shared_and_null_ids_go(spark, sf, most):
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    item = bench.orderBy(F.length("text").desc()).first().text
+    rows = [(None, f"before {item}"), (None, "clean without id"), (1, f"after {item}"), (1, "clean one"), (1, "clean one"), (2, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], COLUMNS)
+    kept = winnowing.without_contaminated(docs, bench, most_windows=most)
+    assert kept.schema == docs.schema
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(str(r) for r in rows if "fore" not in (r[1] or "") and "after" not in (r[1] or ""))
