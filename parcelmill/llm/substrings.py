@@ -96,7 +96,8 @@ def _with_text(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         )
 
     gathered = wanted.groupBy("uid").agg(F.collect_list(F.struct("shard", "anchor", "seg", "start", "many", "full")).alias("wants"))
-    joined = docs.select(_uid(), "text").join(gathered, "uid").select("text", "wants")
+    once = docs.select(_uid(), "text").dropDuplicates(["uid"])  # repeated rows would each give their segments
+    joined = once.join(gathered, "uid").select("text", "wants")
     return tasks.per_batch(joined, each, "shard int, anchor long, seg long, many int, full boolean, words string")
 
 
@@ -182,7 +183,7 @@ def removed_mask(n: int, marks: list[tuple[int, int]], length: int) -> np.ndarra
 def without_repeats(docs: DataFrame, length: int = WINDOW, gram: int = GRAM, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: each text's remaining words, joined by single spaces."""
     docs = tasks.texts(docs)
-    marks = repeated(docs, length, gram, hot_segments).groupBy("uid").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
+    marks = repeated(docs, length, gram, hot_segments).groupBy("uid").agg(F.collect_set(F.struct("start", "mask")).alias("marks"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         total, gone, kept = [], [], []

@@ -159,6 +159,23 @@ def test_without_repeats(docs, hot):
         same(substrings.without_repeats(docs, length=length, gram=min(6, length - 2), hot_segments=hot).collect(), expected)
 
 
+@pytest.mark.parametrize("hot", [20_000, 0])
+def test_repeated_rows_add_no_marks(spark, hot, monkeypatch):
+    """Repeated rows are searched once, and each marked window reaches their text once."""
+    passage, searched = " ".join(f"p{i}" for i in range(60)), []
+    rows = [(1, f"left {passage} right")] * 30 + [(None, f"up {passage} down")] * 20 + [(2, f"so {passage} on"), (3, "short")]
+    with_text = substrings._with_text
+
+    def seen(*args):
+        searched.append(with_text(*args))
+        return searched[-1]
+
+    monkeypatch.setattr(substrings, "_with_text", seen)
+    kept = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), hot_segments=hot)
+    same([(r.doc_id, r.n_removed, r.kept) for r in kept.collect()], [(1, 62, "")] * 30 + [(None, 62, "")] * 20 + [(2, 60, "so on"), (3, 0, "short")])
+    assert all(r["count"] == 1 for df in searched for r in df.groupBy("anchor", "seg").count().collect()) and searched[0].count()
+
+
 # --- 4: language model
 
 
