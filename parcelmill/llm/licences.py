@@ -18,7 +18,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of public licence notices, as their authors wrote them, with their identifiers.
+# Sentences of public licence notices, with their identifiers.
 SENTENCES = {
     "apache2-under": "Licensed under the Apache License, Version 2.0.",
     "apache2-notice": 'Licensed under the Apache License, Version 2.0 (the "License").',
@@ -47,6 +47,16 @@ SENTENCES = {
     "reserved": "All rights reserved.",
 }
 
+# The same sentences as the published notices have them, where those above are shorter or cut otherwise.
+WHOLE = [
+    (
+        "mit-permission",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+    ),
+    ("apache2-copy", "You may obtain a copy of the License at"),  # a blank line, then the address
+    ("gpl2-later", "either version 2 of the License, or (at your option) any later version."),  # after a semicolon
+]
+
 # Licences and the sequences of sentences that give them; longer rules stand before those they contain.
 RULES = [
     ("Apache-2.0", ["apache2-notice", "apache2-use", "apache2-copy"]),
@@ -86,7 +96,7 @@ def normalised(sentence: str) -> str:
 def _known() -> dict[str, str]:
     """Identifiers by normalised sentence; a sentence the cut would divide is known by its last part alone."""
     out: dict[str, str] = {}
-    for key, sentence in SENTENCES.items():
+    for key, sentence in [*SENTENCES.items(), *WHOLE]:
         parts = [p for p in (normalised(x) for x in re.split(CUT, sentence)) if p]
         out[max(parts, key=len)] = key
     return out

@@ -227,6 +227,56 @@ def test_licence_rules(spark):
     assert {r.doc_id: r.licences for r in got} == {1: ["BSD-3-Clause"], 2: ["BSD-2-Clause"], 3: [], 4: ["Apache-2.0", "CC-BY-NC-4.0"]}
 
 
+NOTICES = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+}
+
+
+def test_published_notices(spark):
+    """The notices as they are published, with their line ends."""
+    rows = [(i, name, text) for i, (name, text) in enumerate(NOTICES.items())]
+    got = licences.licences(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.licences for r in got} == {i: [name] for i, name, _ in rows}
+    assert {r.doc_id: r.sentence_ids for r in got}[1] == ["apache2-notice", "apache2-use", "apache2-copy"]
+
+
 def test_licences_stay_in_the_engine(documents):
     plan = licences.licences(documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
