@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +29,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 LEAST_SEEDS = 5  # different known identifiers that a pattern must stand around
 TRUST = 0.8
+LONG_WORD = 80
 LOOKS_LIKE_CARD = 12  # digits; shorter numbers are no cards that fail, but candidates
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -87,22 +89,36 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     return good, bad
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span: two words before it, and one on each side."""
-    before = re.findall(r"\S+", text[max(0, start - 80) : start])[-2:]
-    after = re.findall(r"\S+", text[end : end + 40])[:1]
-    clean = [re.sub(r"[0-9]", "9", w.lower()) for w in (*before, *after)]
-    if len(before) < 2 or not after:
-        return []
-    return [f"{clean[0]} {clean[1]} _", f"{clean[1]} _ {clean[2]}"]
+class _Around:
+    """Whole words of a text, to look up those before and after a span."""
+
+    def __init__(self, text: str):
+        self.text, self.words = text, [m.span() for m in re.finditer(r"\S+", text)]
+        self.starts, self.ends = [a for a, _ in self.words], [b for _, b in self.words]
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Lexical patterns around a span: two words before it, and one on each side.
+
+        Beyond the start and end of the text stands an empty word, which no other equals; a pattern has one word at
+        least. A word of more than ``LONG_WORD`` characters is written as its digest.
+        """
+        k, j = bisect_left(self.starts, start), bisect_right(self.ends, end)
+        before = [self.text[a : min(b, start)] for a, b in self.words[max(0, k - 2) : k]]
+        after = [self.text[max(a, end) : b] for a, b in self.words[j : j + 1]]
+        clean = [re.sub(r"[0-9]", "9", w.lower()) for w in (*before, *after)]
+        clean = [w if len(w) <= LONG_WORD else f"#{hashlib.sha256(w.encode()).hexdigest()}" for w in clean]
+        clean = [""] * (2 - len(before)) + clean + [""] * (1 - len(after))
+        pairs = ((clean[:2], f"{clean[0]} {clean[1]} _"), (clean[1:], f"{clean[1]} _ {clean[2]}"))
+        return [p for words, p in pairs if any(words)]
 
 
 def occurrences(text: str) -> list[tuple[str, str, int, int, list[str]]]:
     """Kind (``''`` unknown, ``'-'`` failed its check), value, span and patterns of identifiers and candidates."""
     good, bad = base_spans(text)
     taken = sorted((a, b) for _, a, b in (*good, *bad))
-    out = [(k, text[a:b], a, b, _patterns(text, a, b)) for k, a, b in good]
-    out += [("-", text[a:b], a, b, _patterns(text, a, b)) for _, a, b in bad]
+    around = _Around(text)
+    out = [(k, text[a:b], a, b, around.patterns(a, b)) for k, a, b in good]
+    out += [("-", text[a:b], a, b, around.patterns(a, b)) for _, a, b in bad]
     i = 0
     for m in _WORD.finditer(text):
         if not _DIGIT.search(m.group()):
@@ -112,7 +128,7 @@ def occurrences(text: str) -> list[tuple[str, str, int, int, list[str]]]:
             while i < len(taken) and taken[i][1] <= a:
                 i += 1
             if b - a >= 6 and _DIGIT.search(c.group()) and not any(s < b and a < e for s, e in taken[i : i + 4]):
-                out.append(("", c.group(), a, b, _patterns(text, a, b)))
+                out.append(("", c.group(), a, b, around.patterns(a, b)))
     return out
 
 

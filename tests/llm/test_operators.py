@@ -104,6 +104,15 @@ def test_patterns_discover(spark):
     assert {r.doc_id: r.spans for r in found.collect()}[50] == ""
 
 
+@pytest.mark.parametrize("form", ["Kundennummer lautet {}", "account {} noted here", "{} is mine", "well {}", "one {} " + "long" * 30])
+def test_patterns_at_the_edges_of_a_text(spark, form):
+    """Identifiers that begin or end a text, and long neighbours, give patterns too."""
+    rows = [(i, form.format(f"10.0.0.{i}")) for i in range(8)] + [(50, form.format("AB12-99887"))]
+    found = personal.digest_rows(personal.personal_data(spark.createDataFrame(rows, "doc_id long, text string")))
+    at = form.index("{")
+    assert {r.doc_id: r.spans for r in found.collect()}[50] == f"ip:{at}:{at + 10}"
+
+
 # --- 2: SimHash
 
 
