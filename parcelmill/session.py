@@ -67,3 +67,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove the files of tables that ``stage`` wrote, once what was made of them is written itself."""
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            folder = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            if not folder.toString().startswith(_uri(table.sparkSession)):
+                raise ValueError(f"{folder} is no staged table")
+            folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _uri(spark: SparkSession) -> str:
+    """The scratch folder as Spark's file listings name it."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toString()
