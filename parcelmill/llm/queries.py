@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmill import session
-from parcelmill.llm import backoff, exact, licences, lines, mixing, packing, personal, phrases, quality, simhash, substrings, winnowing
+from parcelmill.llm import backoff, exact, licences, lines, mixing, packing, periods, personal, phrases, quality, simhash, substrings, winnowing
 
 LEARN_MODULUS, LEARN_HELD = 7, 2  # of op4: documents whose remainder is this one aren't learned from
 LABEL_MODULUS, LABEL_HELD = 4, 2  # of op6: labels of such documents aren't used
@@ -96,6 +96,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=4096)
 
 
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.collapsed(_table(spark, sf_dir, "documents"), source=periods.made_periodic)
+    return periods.digest_rows(found)
+
+
 @_query
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
@@ -106,6 +112,7 @@ def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+ORACLES["op11_periodic_runs"] = periods.oracle()
 ORACLES["op12_phrase_collocations"] = phrases.oracle()
 ORACLES["op13_source_mixing"] = mixing.oracle()
 ORACLES["op5_licence_scan"] = licences.oracle()
