@@ -6,13 +6,16 @@ again. Fact and booking table are partitioned by booking month, and a run rewrit
 
 The warehouse keeps every version. A booking that is deleted, or moves to another month, leaves a mark in the
 month that it was in; so the last version can be told within a month, and a reader's month filter reaches the
-partitions.
+partitions. A full refresh finds these, and the rows that changed, by the difference of the old and the new booking table.
+
+Every run of Gold has a number, which its rows and marks bear and which counts once the run's bounds are stored. The
+warehouse keeps a ledger of the runs that it has loaded. A load takes the runs that are not in it, and writes each to
+partitions of its own, which a load that is run again replaces.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +25,11 @@ from parcelmill.operators.dedup import latest_per_key
 from parcelmill.operators.merge import DELETE_OP
 from parcelmill.plans import gold, warehouse
 from parcelmill.plans.medallion import Lake
-from parcelmill.session import stage, tune
+from parcelmill.session import drop, stage, tune
 from parcelmill.sinks import tables
 
 MONTH = "booking_month"
+RUN = "gold_run"
 
 # Silver tables by their part in the star.
 SILVER = {
@@ -79,6 +83,11 @@ class Marts:
     def rejects(self) -> str:
         return f"{self.warehouse}/rejects"
 
+    @property
+    def ledger(self) -> str:
+        """Numbers of the runs of Gold that the base holds."""
+        return f"{self.warehouse}/loaded"
+
 
 def _since(bound: int | None) -> Column:
     return F.lit(True) if bound is None else F.col("ingested_at") > F.timestamp_micros(F.lit(bound))
@@ -93,6 +102,35 @@ def _write_anew(rows: DataFrame, path: str) -> None:
     spread.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
 
 
+def _replace_run(rows: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Write rows to the partitions of their runs; what an earlier attempt left there is replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def _write_marks(marks: DataFrame, marts: Marts, run: int) -> None:
+    """Add a run's marks of rows that left their month to those that an attempt before it may have written."""
+    spark, marks = marks.sparkSession, marks.withColumn(RUN, F.lit(run).cast("long"))
+    if tables.exists(spark, marts.left):
+        marks = marks.unionByName(spark.read.parquet(marts.left).filter(F.col(RUN) == run).select(*marks.columns))
+    marks = stage(marks.dropDuplicates([*gold.BOOKING_KEY, MONTH]), "marks")
+    _replace_run(marks, marts.left, [RUN])
+    drop(marks)
+
+
+def difference(old: DataFrame, new: DataFrame, run: int) -> tuple[DataFrame, DataFrame]:
+    """The new table with run numbers, and the old rows that it has no more where they were.
+
+    Both are joined in full by key and month, null-safe. A row that is as it was keeps the number of its run, so that it
+    isn't loaded again; another one bears that of this run. Keys are unique in each table.
+    """
+    columns = [c for c in new.columns if c != RUN]
+    sides = [t.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{i}") for i, c in enumerate([*gold.BOOKING_KEY, MONTH])], F.struct(*t.columns).alias(name)) for t, name in ((old, "was"), (new, "now"))]
+    both = stage(sides[0].join(sides[1], [f"_k{i}" for i in range(len(gold.BOOKING_KEY) + 1)], "full_outer"), "difference")
+    same = F.struct(*[f"was.{c}" for c in columns]).eqNullSafe(F.struct(*[f"now.{c}" for c in columns])) & F.col("was").isNotNull()
+    numbered = both.filter("now IS NOT NULL").select("now.*", F.when(same, F.col(f"was.{RUN}")).otherwise(F.lit(run)).cast("long").alias(RUN))
+    return numbered, both.filter("now IS NULL").select("was.*")
+
+
 def touched_facts(facts: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
     """Facts of which any of these columns holds one of the keys given for it.
 
@@ -127,8 +165,10 @@ def run_gold(
     }
     if missing := [SILVER[part] for part, rows in log.items() if rows is None]:
         raise ValueError(f"not in Silver yet: {', '.join(missing)}")
-    stored = None if full_refresh else tables.read_snapshot(spark, marts.bounds)
-    bounds = {} if stored is None else {row["source"]: row["bound"] for row in stored.collect()}
+    stored = tables.read_snapshot(spark, marts.bounds)
+    stored = [] if stored is None else stored.collect()
+    run = max([row["run"] for row in stored], default=0) + 1
+    bounds = {} if full_refresh else {row["source"]: row["bound"] for row in stored}
     reached = {part: rows.agg(F.unix_micros(F.max("ingested_at"))).first()[0] for part, rows in log.items()}
     changed = [part for part in SILVER if reached[part] != bounds.get(part)]
     if not changed:
@@ -139,12 +179,17 @@ def run_gold(
         if part in changed:
             tables.write_snapshot(getattr(projected, part), marts.dimension(part))
     dims = gold.Dims(**{part: tables.read_snapshot(spark, marts.dimension(part)) for part in REFERENCES})
-    now = F.lit(datetime.now(timezone.utc))
 
     if not bounds:
         _write_anew(_monthly(gold.fact(current["bookings"])), marts.fact)
         facts = spark.read.parquet(marts.fact).drop(MONTH)
-        _write_anew(_monthly(gold.wide_bookings(facts, dims)).withColumn("gold_at", now), marts.wide)
+        rows = _monthly(gold.wide_bookings(facts, dims))
+        if tables.exists(spark, marts.wide):
+            rows, left = difference(spark.read.parquet(marts.wide), rows, run)
+            _write_marks(left, marts, run)
+        else:
+            rows = rows.withColumn(RUN, F.lit(run).cast("long"))
+        _write_anew(rows, marts.wide)
     else:
         key = gold.BOOKING_KEY
         gone = stage(deleted_keys(log["bookings"], key, bounds["bookings"]), "gone-bookings")
@@ -155,38 +200,45 @@ def run_gold(
             touched = log[part].filter(_since(bounds[part])).select(*registry[SILVER[part]])
             keys |= {column: touched for column in REFERENCES.get(part, [])}
         facts = spark.read.parquet(marts.fact).drop(MONTH)
-        rows = _monthly(gold.wide_bookings(touched_facts(facts, keys), dims)).withColumn("gold_at", now)
+        rows = _monthly(gold.wide_bookings(touched_facts(facts, keys), dims)).withColumn(RUN, F.lit(run).cast("long"))
         rows = stage(rows, "changed-bookings")
         old = spark.read.parquet(marts.wide)
         places = rows.select(*key, F.col(MONTH).alias("_month"))
         moved = old.join(places, key).filter(~F.col(MONTH).eqNullSafe(F.col("_month"))).select(*old.columns)
         left = moved.unionByName(old.join(gone, key, "left_semi").select(*old.columns))
-        tables.append(left.withColumn("gold_at", now), marts.left)
+        _write_marks(left, marts, run)
         tables.merge_partitions(rows, marts.wide, key, MONTH, gone)
-    marks = spark.createDataFrame(list(reached.items()), "source string, bound long")
+        drop(rows, gone)
+    marks = spark.createDataFrame([(*item, run) for item in reached.items()], "source string, bound long, run long")
     tables.write_snapshot(marks.coalesce(1), marts.bounds)
     return changed
 
 
-def load_warehouse(spark: SparkSession, marts: Marts, loaded_at: Column | None = None) -> None:
-    """Append the versions that Gold has written since the last load, the newest loaded run included.
+def load_warehouse(spark: SparkSession, marts: Marts, loaded_at: Column | None = None) -> list[int]:
+    """Append the versions of the runs of Gold that the ledger lacks; returns the numbers of these runs.
 
-    Rows without a required column go to the rejects.
+    Rows without a required column go to the rejects. The ledger is written last.
     """
     tune(spark)
+    done = tables.read_snapshot(spark, marts.bounds).agg(F.max("run")).first()[0]
+    loaded = {row[0] for row in spark.read.parquet(marts.ledger).collect()} if tables.exists(spark, marts.ledger) else set()
+    missing = [run for run in range(1, done + 1) if run not in loaded]
+    if not missing:
+        return []
     rows = spark.read.parquet(marts.wide).withColumn("is_deleted", F.lit(False))
     if tables.exists(spark, marts.left):
         rows = rows.unionByName(spark.read.parquet(marts.left).withColumn("is_deleted", F.lit(True)))
-    if tables.exists(spark, marts.base):
-        newest = spark.read.parquet(marts.base).agg(F.max("gold_at").alias("bound")).scalar()
-        rows = rows.filter(F.col("gold_at") >= newest)
-    rows = stage(rows.drop(MONTH), "warehouse-load")
-    tables.append(warehouse.rejects(rows), marts.rejects)
-    warehouse.write_base(warehouse.loadable(rows, loaded_at), marts.base)
+    rows = stage(rows.filter(F.col(RUN).isin(missing)), "warehouse-load")
+    _replace_run(warehouse.rejects(rows), marts.rejects, [RUN])
+    good = warehouse.loadable(rows, loaded_at).repartitionByRange(*warehouse.SORT).sortWithinPartitions(*warehouse.SORT)
+    _replace_run(good, marts.base, [RUN, MONTH])
+    tables.append_compacted(spark.createDataFrame([(run,) for run in missing], f"{RUN} long"), marts.ledger)
+    drop(rows)
+    return missing
 
 
 def current_bookings(spark: SparkSession, marts: Marts) -> DataFrame:
     """Last version of every booking; a filter on ``booking_month`` prunes the partitions of the base."""
     base = spark.read.parquet(marts.base)
-    newest = [F.col("gold_at").desc(), F.col("olap_loaded_at").desc()]
+    newest = [F.col(RUN).desc(), F.col("is_deleted")]
     return latest_per_key(base, [MONTH, *gold.BOOKING_KEY], newest).filter("NOT is_deleted").drop("is_deleted")

@@ -65,20 +65,40 @@ def _turn(spark: SparkSession, sf: str, turn: int) -> list[DataFrame]:
 def stored_marts(spark: SparkSession, sf: str) -> tuple[medallion.Lake, marts.Marts]:
     """Lake and marts after two rounds of all jobs."""
 
-    def at(path: str) -> tuple[medallion.Lake, marts.Marts]:
-        lake = medallion.Lake(f"{path}/bronze", f"{path}/silver", f"{path}/quarantine", f"{path}/control")
-        return lake, marts.Marts(f"{path}/gold", f"{path}/warehouse")
-
     def write(path: str) -> None:
-        lake, out = at(path)
+        lake, out = _places(path)
         for turn in (0, 1):
-            for batch in _turn(spark, sf, turn):
-                tables.append(changes.to_bronze(batch), lake.bronze, ["kafka_topic"])
-            medallion.run_medallion(spark, lake, REGISTRY)
+            play_turn(spark, sf, lake, turn)
             marts.run_gold(spark, lake, out, REGISTRY)
             marts.load_warehouse(spark, out)
 
-    return at(stored(spark, sf, "marts", write))
+    return _places(stored(spark, sf, "marts", write))
+
+
+def _places(path: str) -> tuple[medallion.Lake, marts.Marts]:
+    lake = medallion.Lake(f"{path}/bronze", f"{path}/silver", f"{path}/quarantine", f"{path}/control")
+    return lake, marts.Marts(f"{path}/gold", f"{path}/warehouse")
+
+
+def play_turn(spark: SparkSession, sf: str, lake: medallion.Lake, turn: int) -> None:
+    """A turn's messages, and Silver after them."""
+    for batch in _turn(spark, sf, turn):
+        tables.append(changes.to_bronze(batch), lake.bronze, ["kafka_topic"])
+    medallion.run_medallion(spark, lake, REGISTRY)
+
+
+def refreshed_marts(spark: SparkSession, sf: str) -> tuple[medallion.Lake, marts.Marts]:
+    """Marts whose second round is a full refresh of Gold, with loads that have nothing to do after each."""
+
+    def write(path: str) -> None:
+        lake, out = _places(path)
+        for turn in (0, 1):
+            play_turn(spark, sf, lake, turn)
+            marts.run_gold(spark, lake, out, REGISTRY, full_refresh=turn == 1)
+            for _ in range(3):
+                marts.load_warehouse(spark, out)
+
+    return _places(stored(spark, sf, "refreshed-marts", write))
 
 
 LIVE = f"NOT (STATUS_ID = 'R-F' AND CREATED_AT < TIMESTAMP '{SPLIT}')"
@@ -102,6 +122,33 @@ def _(spark, sf):
     )
 
 
+@query(
+    "gold_full_refresh",
+    obt(
+        f"""SELECT BOOKING_ID, CAST(BOOKING_DATE AS VARCHAR) AS BOOKING_DATE, CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE,
+       CUSTOMER_TYPE, SENDING_PROVINCE, STATUS_GROUP FROM obt WHERE {LIVE}"""
+    ),
+)
+def _(spark, sf):
+    """The warehouse's last versions after a full refresh of Gold found what had changed, moved and gone."""
+    view = marts.current_bookings(spark, refreshed_marts(spark, sf)[1])
+    return view.select("BOOKING_ID", "BOOKING_DATE", "TOTAL_REVENUE", "CUSTOMER_TYPE", "SENDING_PROVINCE", "STATUS_GROUP")
+
+
+@query(
+    "wh_idle_load",
+    obt(
+        f"""SELECT CAST(strftime(CASE WHEN STATUS_ID = 'A-F' THEN BOOKING_DATE + INTERVAL 40 DAY ELSE BOOKING_DATE END, '%Y%m') AS INTEGER)
+       AS booking_month, COUNT(*) AS versions, CAST(SUM(TOTAL_REVENUE) AS DOUBLE) AS revenue
+FROM obt WHERE CREATED_AT < TIMESTAMP '{SPLIT}' GROUP BY ALL"""
+    ),
+)
+def _(spark, sf):
+    """Versions of the first run in the base by month, after loads that had nothing to load."""
+    base = spark.read.parquet(refreshed_marts(spark, sf)[1].base).filter(F.col(marts.RUN) == 1)
+    return base.groupBy(marts.MONTH).agg(F.count(F.lit(1)).alias("versions"), F.sum("TOTAL_REVENUE").cast("double").alias("revenue"))
+
+
 @query(
     "semantic_on_view",
     obt(

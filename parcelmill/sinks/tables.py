@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmill.operators.merge import merge_delete, merge_upsert
-from parcelmill.session import stage
+from parcelmill.session import drop, stage
 
 POINTER = "_CURRENT"
 
@@ -134,6 +134,7 @@ def merge_partitions(
         text = None if value is None else str(value)
         fs, directory = _fs(spark, f"{path}/{names.getPartitionPathString(partition, text)}")
         fs.delete(directory, True)
+    drop(source, rows)
 
 
 def _values(column: DataFrame) -> set:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import dataclasses
+
+import pytest
 from pyspark.sql import functions as F
 
 from parcelmill.plans import marts
-from parcelmill.registry.marts import REGISTRY, stored_marts
+from parcelmill.registry.marts import REGISTRY, refreshed_marts, stored_marts
 from parcelmill.sinks import tables
 
 
@@ -43,6 +46,62 @@ def test_month_filter_reaches_the_partitions(spark, sf):
     assert "booking_month" in filters and "199701" in filters
 
 
+def _counts(spark, out):
+    return {t: spark.read.parquet(getattr(out, t)).count() for t in ("base", "ledger")}
+
+
+def test_full_refresh_equals_gold(spark, sf):
+    """After a full refresh the view is the booking table, and only what changed was loaded again."""
+    _, out = refreshed_marts(spark, sf)
+    wide, base = spark.read.parquet(out.wide), spark.read.parquet(out.base)
+    view = marts.current_bookings(spark, out).select(*wide.columns)
+    assert view.count() == wide.count() > 0 and view.exceptAll(wide).isEmpty()
+    assert view.agg(F.sum("TOTAL_REVENUE")).first() == wide.agg(F.sum("TOTAL_REVENUE")).first()
+    assert base.filter("gold_run = 2 AND NOT is_deleted").count() == wide.filter("gold_run = 2").count()
+    assert 0 < spark.read.parquet(out.left).count() == base.filter("gold_run = 2 AND is_deleted").count()
+
+
+def test_a_refresh_without_changes_loads_nothing(spark, sf, monkeypatch):
+    lake, out = refreshed_marts(spark, sf)
+    before = spark.read.parquet(out.base).count()
+    assert marts.run_gold(spark, lake, out, REGISTRY, full_refresh=True)
+    # a load that dies before its ledger row leaves no double, and neither does one that has nothing to load
+    with monkeypatch.context() as dying:
+        dying.setattr(tables, "append_compacted", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            marts.load_warehouse(spark, out)
+    assert marts.load_warehouse(spark, out) == [3]
+    assert marts.load_warehouse(spark, out) == []
+    assert spark.read.parquet(out.base).count() == before
+
+
+def test_a_load_that_dies_is_run_again(spark, sf, monkeypatch):
+    _, out = refreshed_marts(spark, sf)
+    marts.load_warehouse(spark, out)
+    before = _counts(spark, out)
+    copy = dataclasses.replace(out, warehouse=f"{out.warehouse}-again")
+    with monkeypatch.context() as dying:
+        dying.setattr(tables, "append_compacted", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            marts.load_warehouse(spark, copy)
+    marts.load_warehouse(spark, copy)
+    assert marts.load_warehouse(spark, copy) == []
+    keys = ["BOOKING_ID", "booking_month", "gold_run"]
+    base = spark.read.parquet(copy.base)
+    assert base.select(*keys).distinct().count() == base.count() <= before["base"]
+    assert marts.current_bookings(spark, copy).count() == spark.read.parquet(out.wide).count()
+
+
+def test_difference_of_tables(spark):
+    """Rows that stay keep their run; changed, new and moved ones get the new; gone and moved ones leave a mark."""
+    kind = "BOOKING_ID long, booking_month int, v string"
+    old = spark.createDataFrame([(1, 1, "a", 1), (2, 1, None, 1), (3, 1, "c", 1), (4, None, "d", 1), (5, 2, "e", 1), (6, 2, None, 1)], f"{kind}, gold_run long")
+    new = spark.createDataFrame([(1, 1, "a"), (2, 1, None), (3, 2, "c"), (4, None, "x"), (6, 2, "f"), (7, 3, None)], kind)
+    rows, left = marts.difference(old, new, 9)
+    assert sorted(map(tuple, rows.select("BOOKING_ID", "gold_run").collect())) == [(1, 1), (2, 1), (3, 9), (4, 9), (6, 9), (7, 9)]
+    assert sorted(map(tuple, left.select("BOOKING_ID", "booking_month").collect())) == [(3, 1), (5, 2)]
+
+
 def test_merge_deletes_and_drops_empty_partitions(spark, tmp_path):
     path = f"{tmp_path}/t"
     rows = spark.createDataFrame([(1, "a", 10), (2, "b", 10), (3, "c", 20), (4, "d", 30)], "k int, v string, p int")
