@@ -300,6 +300,25 @@ def _(spark, sf):
     return both.drop("raw_value", "quarantined_at")
 
 
+@query(
+    "dlq_lossy_value",
+    with_(
+        "messages",
+        f"""SELECT event_id AS kafka_offset, value <> floor(value) AS as_whole, CAST(CAST(value AS DECIMAL(15, 1)) AS DOUBLE) <> value AS as_tenths
+FROM messages WHERE {_HAS_IMAGE} AND NOT faulty AND (value <> floor(value) OR CAST(CAST(value AS DECIMAL(15, 1)) AS DOUBLE) <> value)""",
+    ),
+)
+def _(spark, sf):
+    """Amounts that a stored column of whole numbers, or one of tenths, can't hold: rejected, not cut."""
+    bronze, found = users_bronze(spark, sf), []
+    for name, kind in (("as_whole", "bigint"), ("as_tenths", "decimal(15,1)")):
+        target = StructType.fromDDL(f"ID bigint, STATUS string, AMOUNT {kind}")
+        classified, _ = payload.classify(bronze, KEYS, user_schema(), target)
+        found.append(classified.filter(F.col("error_reason") == payload.TYPE_CONFLICT).select("kafka_offset", F.lit(name).alias("target")))
+    targets = F.collect_set("target")
+    return found[0].union(found[1]).groupBy("kafka_offset").agg(*[F.array_contains(targets, n).alias(n) for n in ("as_whole", "as_tenths")])
+
+
 @query(
     "normalize_epochs",
     """SELECT event_id, epoch_us(ts) AS created_us, epoch_us(ts) // 1000 AS updated_ms, epoch_us(ts) // 1000000 AS booking_s,

@@ -253,6 +253,16 @@ def test_unfit_values_reach_quarantine(spark, lake_at):
     assert value.first()["V"] == 1
 
 
+def test_a_value_is_rejected_and_not_cut(spark, lake_at):
+    append_bronze(spark, lake_at, ("cdc.T", 1, event("c", 1, ID=1, V=1)))
+    medallion.run_medallion(spark, lake_at, REGISTRY)
+    append_bronze(spark, lake_at, ("cdc.T", 2, event("u", 2, ID=1, V="1.75")), ("cdc.T", 3, event("u", 3, ID=2, V="2.0")))
+    (record,) = medallion.run_medallion(spark, lake_at, REGISTRY)
+    assert record["records_dlq"] == 1 and record["status"] == "WARNING_DLQ"
+    value, _ = medallion.silver_tables(spark, lake_at, REGISTRY)["T"]
+    assert {(r["ID"], r["V"]) for r in value.collect()} == {(1, 1), (2, 2)}
+
+
 def test_declared_types_reject_what_does_not_fit(spark, lake_at):
     append_bronze(spark, lake_at, ("cdc.T", 1, event("c", 1, ID=1, V='"abc"')), ("cdc.T", 2, event("c", 2, ID=2, V="null")))
     declared = {"T": StructType.fromDDL("ID long, V long")}

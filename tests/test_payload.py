@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parcelmill.functions.shape import align_to
+from parcelmill.functions.shape import align_to, unfit
 from parcelmill.functions.times import epoch_to_timestamp, normalize_epochs, time_bucket
 from parcelmill.operators import payload
 from parcelmill.schemas import CHANGE_MESSAGE, SOURCE_TABLES, TABLE_KEYS, source_schema
@@ -180,3 +180,22 @@ def test_registered_tables_declare_their_keys(spark):
     assert len(SOURCE_TABLES) == 11
     for name, keys in TABLE_KEYS.items():
         assert set(keys) <= set(source_schema(name).names)
+
+
+@pytest.mark.parametrize(
+    "have, value, goal, held",
+    [
+        ("double", 1.75, "bigint", False), ("double", 2.0, "bigint", True), ("double", 1e30, "bigint", False),
+        ("double", float("nan"), "bigint", False), ("double", 12.345, "decimal(15,2)", False),
+        ("double", 12.34, "decimal(15,2)", True), ("double", 0.1, "float", True), ("bigint", 2**53 + 1, "double", False),
+        ("bigint", 2**53, "double", True), ("bigint", 300, "tinyint", False), ("string", "1.75", "bigint", False),
+        ("string", "17", "bigint", True), ("string", "12.345", "decimal(15,2)", False), ("string", "12.30", "decimal(15,1)", True),
+        ("string", "2024-01-02 10:00:00", "date", False), ("string", "2024-01-02", "date", True), ("string", "x", "date", False),
+        ("timestamp", datetime(2024, 1, 2, 10), "date", False), ("timestamp", datetime(2024, 1, 2), "date", True),
+        ("bigint", 7, "string", True), ("bigint", None, "tinyint", True),
+    ],
+)
+def test_values_that_a_type_cannot_hold(spark, have, value, goal, held):
+    row = spark.createDataFrame([((value,),)], f"row struct<V: {have}>")
+    found = row.select(unfit(row.schema["row"].dataType, StructType.fromDDL(f"V {goal}")).alias("lost")).first()["lost"]
+    assert found is not held
