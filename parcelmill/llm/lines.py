@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from parcelmill import session
 from parcelmill.llm import tasks
+from parcelmill.llm.membership import parted, row_id
 
 SPAN = 2
 EVERY = 4
@@ -78,10 +79,6 @@ def first_windows(text: str, least: int) -> Found:
     return lines, found
 
 
-def _uid():
-    return F.xxhash64("doc_id", "text").alias("uid")
-
-
 def repeats(docs: DataFrame, find: Callable[[str], Found]) -> DataFrame:
     """``uid, line``: a piece that starts at this line of the text has an equal one in an earlier document."""
 
@@ -91,7 +88,7 @@ def repeats(docs: DataFrame, find: Callable[[str], Found]) -> DataFrame:
             for body, places in find(text)[1].items():
                 for column, value in zip(out, (uid, places[0][0], xxhash.xxh3_64_intdigest(body) - (1 << 63))):
                     column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["uid", "line", "digest"])
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["uid", "line", "digest"])
 
     def bodies(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = ([], [], [], [], [])
@@ -101,22 +98,27 @@ def repeats(docs: DataFrame, find: Callable[[str], Found]) -> DataFrame:
             for w in wants:
                 for column, value in zip(out, (doc_id, uid, w["line"], w["digest"], b"\n".join(lines[w["line"] : ends[w["line"]]]).decode())):
                     column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
+        kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["doc_id", "uid", "line", "digest", "body"])
 
-    texts = tasks.texts(docs).filter("text IS NOT NULL").select("doc_id", _uid(), "text")
-    every_chunk = session.stage(tasks.per_batch(texts.select("uid", "text"), digests, "uid long, line int, digest long"), "chunks")
+    texts = tasks.texts(docs).filter("text IS NOT NULL").select("doc_id", row_id().alias("uid"), "text")
+    every_chunk = session.stage(tasks.per_batch(texts.select("uid", "text"), digests, "uid string, line int, digest long"), "chunks")
     again = every_chunk.groupBy("digest").count().filter("count > 1").select("digest")
     again = session.stage(again, "repeated-digests")  # the join then has its own shuffles, whose hot digests can be split
     wants = every_chunk.join(again, "digest").distinct().groupBy("uid").agg(F.collect_list(F.struct("line", "digest")).alias("wants"))
+    wants = session.stage(wants, "wanted-lines")
+    _, likely = parted(texts, wants, "uid")
     suspects = tasks.per_batch(
-        texts.join(wants, "uid").select("doc_id", "uid", "text", "wants"), bodies, "doc_id long, uid long, line int, digest long, body string"
+        likely.join(wants, "uid").select("doc_id", "uid", "text", "wants"), bodies, "doc_id long, uid string, line int, digest long, body string"
     )
     suspects = session.stage(suspects, "suspect-chunks")
+    session.drop(every_chunk, again, wants)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
     first = suspects.groupBy("digest", "body").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
     first = session.stage(first.select("digest", "body", F.col("first.uid").alias("first")), "first-chunks")
-    return suspects.join(first, ["digest", "body"]).filter("uid <> first").select("uid", "line").distinct()
+    found = session.stage(suspects.join(first, ["digest", "body"]).filter("uid <> first").select("uid", "line").distinct(), "repeats")
+    session.drop(suspects, first)
+    return found
 
 
 COUNTS = ("n_lines", "n_removed")
@@ -140,7 +142,10 @@ def _cleaned(docs: DataFrame, find: Callable[[str], Found], counts: bool) -> Dat
     dropped = repeats(docs, find).groupBy("uid").agg(F.collect_list("line").alias("gone"))
     columns = [c for c in docs.columns if not (counts and c.lower() in COUNTS)]
     uid, gone = (tasks.unused(name, docs.columns) for name in ("uid", "gone"))
-    source = docs.withColumn(uid, _uid()).join(dropped.select(F.col("uid").alias(uid), F.col("gone").alias(gone)), uid, "left")
+    dropped = session.stage(dropped.select(F.col("uid").alias(uid), F.col("gone").alias(gone)), "dropped-lines")
+    whole, likely = parted(docs.withColumn(uid, row_id()), dropped, uid)
+    found = likely.join(dropped, uid, "left")
+    source = whole.withColumn(gone, F.lit(None).cast(found.schema[gone].dataType)).unionByName(found.select(*whole.columns, gone))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, total, removed, chars = [], [], [], []

@@ -29,13 +29,18 @@ from pyspark.sql import functions as F
 
 from parcelmill import session
 from parcelmill.llm import tasks
+from parcelmill.llm.membership import parted, row_id
 from parcelmill.llm.words import ALPHANUMERIC, Words, covered, pieces, ragged, sliding_min, text_bytes, window_hashes
 
 WINDOW = 13
 GRAM = 4
 MOST_WINDOWS = 2_000_000
 
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+RESULT = "doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
+def _result(docs: DataFrame) -> str:
+    return RESULT.format(kind=docs.schema["doc_id"].dataType.simpleString())
 
 
 def winnow(hashes: np.ndarray, room: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -146,7 +151,7 @@ def judge(ids: pa.Array, texts: pa.Array, items: Items, window: int, gram: int)
     none = hashlib.sha256(b"").hexdigest()
     digests = [hashlib.sha256(",".join(sorted(found[i])).encode()).hexdigest() if i in found else none for i in range(len(ids))]
     return pa.RecordBatch.from_arrays(
-        [ids.cast(pa.int64()), pa.array(n_words), pa.array(n_hit), pa.array([len(found.get(i, ())) for i in range(len(ids))], pa.int64()), pa.array(digests), pa.array((n_hit > 0) & (20 * n_hit >= n_words))],
+        [ids, pa.array(n_words), pa.array(n_hit), pa.array([len(found.get(i, ())) for i in range(len(ids))], pa.int64()), pa.array(digests), pa.array((n_hit > 0) & (20 * n_hit >= n_words))],
         [x.split()[0] for x in RESULT.split(", ")],
     )
 
@@ -165,7 +170,7 @@ def _broadcast(docs: DataFrame, items: DataFrame, window: int, gram: int) -> Dat
     known = docs.sparkSession.sparkContext.broadcast(
         Items.of([r.item_id for r in rows], pa.array([r.text for r in rows], pa.string()), window, gram)
     )
-    return tasks.per_batch(docs, lambda b: judge(b["doc_id"], b["text"], known.value, window, gram), RESULT)
+    return tasks.per_batch(docs, lambda b: judge(b["doc_id"], b["text"], known.value, window, gram), _result(docs))
 
 
 def _prints(df: DataFrame, key: str, window: int, gram: int, short: list[int] | None) -> DataFrame:
@@ -273,10 +278,10 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
             for column, value in zip(out, (n, hit, len(items or ()), digest, hit > 0 and 20 * hit >= n)):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-        arrays = [batch["doc_id"].cast(pa.int64()), *[pa.array(c, t) for c, t in zip(out, kinds)]]
+        arrays = [batch["doc_id"], *[pa.array(c, t) for c, t in zip(out, kinds)]]
         return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in RESULT.split(", ")])
 
-    return tasks.per_batch(docs.join(spans, "row", "left").select("doc_id", "text", "spans", "items"), each, RESULT)
+    return tasks.per_batch(docs.join(spans, "row", "left").select("doc_id", "text", "spans", "items"), each, _result(docs))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -285,7 +290,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
     Each row is judged by its own text, whatever other rows have its ``doc_id``, and a null one is judged too.
     """
     uid = tasks.unused("uid", docs.columns)
-    source = docs.withColumn(uid, F.xxhash64("doc_id", "text"))
+    source = docs.withColumn(uid, row_id())
     judged = contamination(source.select(F.col(uid).alias("doc_id"), "text"), benchmark, **options)
-    found = judged.filter("contaminated").select(F.col("doc_id").alias(uid)).distinct()
-    return source.join(found, uid, "left_anti").select(docs.columns)
+    found = session.stage(judged.filter("contaminated").select(F.col("doc_id").alias(uid)).distinct(), "contaminated")
+    clean, likely = parted(source, found, uid)
+    return clean.unionByName(likely.join(found, uid, "left_anti").select(clean.columns)).select(docs.columns)
