@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Rows that are handed to Python at once; texts are long, and a task holds a few such batches.
-ARROW_ROWS = "2000"
+# Rows and bytes that are handed to Python at once; texts are long, and a task holds a few such batches.
+ARROW_ROWS = "1000"
+ARROW_BYTES = "4m"
 
 _shipped: set[str] = set()
 
@@ -21,6 +22,7 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give the package's code to the Python workers, wherever they run, once a session; keep batches of texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
