@@ -131,21 +131,26 @@ class WordEncoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str, most: int) -> WordEncoder:
+    return WordEncoder(path, most)
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` of every piece of every document."""
+def token_pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, kept_words: int = CACHED_WORDS
+) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` of every piece of every document.
+
+    A worker keeps the ids of ``kept_words`` words at most; fewer take less memory and more time.
+    """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: tuple[list, ...] = ([], [], [], [], [])
         doc_ids = batch["doc_id"].to_pylist()
-        for i, j, d, a in pieces(*text_bytes(batch["text"]), 2 * PIECE_BYTES):
-            for doc_id, ids in zip(doc_ids[i:j], encoder(tokenizer).encode(d, a)):
+        for i, j, d, a in pieces(*text_bytes(batch["text"])):
+            for doc_id, ids in zip(doc_ids[i:j], encoder(tokenizer, kept_words).encode(d, a)):
                 ids = np.append(ids, end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
@@ -229,9 +234,11 @@ def places(patterns: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
 PACKED = PIECE + ", sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, kept_words: int = CACHED_WORDS
+) -> DataFrame:
     """A row per piece: what it is, and the sequence and offset it was given."""
-    pieces = session.stage(token_pieces(docs, tokenizer or default_tokenizer(), capacity, end_id), "pieces")
+    pieces = session.stage(token_pieces(docs, tokenizer or default_tokenizer(), capacity, end_id, kept_words), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most one row per length
     spread = tasks.shares(max(histogram.values(), default=0), RANK_ROWS)
     bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(spread)).cast("int")
