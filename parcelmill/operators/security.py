@@ -27,8 +27,13 @@ class Access:
 
 
 def permission_row(permissions: DataFrame, username: str) -> DataFrame:
-    """Role and provinces of a user, as a filter on the permission table; unknown users have no row."""
-    return permissions.filter(F.col("username") == F.lit(username)).limit(1)
+    """Role and provinces of a user, as a filter on the permission table; unknown users have no row.
+
+    Of several rows the one that was updated last counts; among equal times the first by role and areas.
+    """
+    stamp = [F.col("updated_at").desc_nulls_last()] if "updated_at" in permissions.columns else []
+    own = permissions.filter(F.col("username") == F.lit(username))
+    return own.orderBy(*stamp, F.col("role").asc_nulls_last(), F.col("province_access").asc_nulls_last()).limit(1)
 
 
 def lookup(permissions: DataFrame, username: str) -> Access:

@@ -135,18 +135,44 @@ def wide_bookings(facts: DataFrame, dims: Dims) -> DataFrame:
     )
 
 
-def affected_facts(facts: DataFrame, dims: Dims, bound: Column) -> DataFrame:
-    """Facts that are newer than ``bound`` or refer to a dimension row that is.
+# the fact columns that refer to each dimension, and the key of the dimension
+REFERENCES = {
+    "customers": ["CUSTOMER_ID"],
+    "services": ["SERVICE_ID"],
+    "pos": ["SENDING_POS_CODE", "RECEIVING_POS_CODE"],
+    "statuses": ["STATUS_ID"],
+}
+DIM_KEYS = {"customers": "CUSTOMER_ID", "services": "SERVICE_ID", "pos": "POS_CODE", "statuses": "STATUS_ID"}
 
-    Each dimension contributes the keys of its changed rows only, as a left join with a marker: a
-    short list is broadcast, a long one shuffled, and a hot key on the fact side can be split.
+
+def touched_facts(facts: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
+    """Facts of which any of these columns holds one of the keys given for it.
+
+    Each is a left join with distinct keys, whose side is broadcast or shuffled by its size at run time.
+    """
+    marked, hit = facts, F.lit(False)
+    for i, (column, wanted) in enumerate(keys.items()):
+        mark = wanted.select(F.col(wanted.columns[0]).alias(f"_k{i}")).distinct().withColumn(f"_m{i}", F.lit(True))
+        marked = marked.join(mark, F.col(column) == F.col(f"_k{i}"), "left")
+        hit = hit | F.coalesce(F.col(f"_m{i}"), F.lit(False))
+    return marked.filter(hit).select(*facts.columns)
+
+
+def affected_facts(facts: DataFrame, dims: Dims, bounds: dict[str, Column]) -> DataFrame:
+    """Facts that are newer than their own bound, or refer to a dimension row that is newer than its dimension's.
+
+    ``bounds`` has the stamp up to which each source was read: of ``bookings`` and of each dimension. A source without
+    one counts as wholly new. The stamps of the sources aren't compared with each other.
     """
-    marked, changed = facts, F.col("ingested_at") > bound
-    for i, (column, dim, stamp) in enumerate(_roles(dims)):
-        keys = dim.filter(F.col(stamp) > bound).select(F.col(dim.columns[0]).alias(f"_k{i}"), F.lit(True).alias(f"_m{i}"))
-        marked = marked.join(keys, F.col(column) == F.col(f"_k{i}"), "left")
-        changed = changed | F.coalesce(F.col(f"_m{i}"), F.lit(False))
-    return marked.filter(changed).select(*facts.columns)
+
+    def newer(rows: DataFrame, part: str) -> DataFrame:
+        return rows.filter(F.col("ingested_at") > bounds[part]) if part in bounds else rows
+
+    keys = {BOOKING_KEY[0]: newer(facts, "bookings").select(*BOOKING_KEY)}
+    for part, columns in REFERENCES.items():
+        changed = newer(getattr(dims, part), part).select(DIM_KEYS[part])
+        keys |= {column: changed for column in columns}
+    return touched_facts(facts, keys)
 
 
 def stamp_bound(target: DataFrame) -> Column:
@@ -154,9 +180,9 @@ def stamp_bound(target: DataFrame) -> Column:
     return target.agg(F.coalesce(F.max("ingested_at"), F.lit(NEVER).cast(stamp)).alias("bound")).scalar()
 
 
-def refresh_wide_bookings(current: DataFrame, facts: DataFrame, dims: Dims) -> DataFrame:
+def refresh_wide_bookings(current: DataFrame, facts: DataFrame, dims: Dims, bounds: dict[str, Column]) -> DataFrame:
     """Incremental rebuild: affected facts are joined again and merged by booking."""
-    changed = affected_facts(facts, dims, stamp_bound(current))
+    changed = affected_facts(facts, dims, bounds)
     return merge_upsert(current, wide_bookings(changed, dims), BOOKING_KEY)
 
 

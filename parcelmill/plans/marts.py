@@ -39,13 +39,7 @@ SILVER = {
     "pos": "DIM_POS_LOCATIONS",
     "statuses": "DIM_DELIVERY_STATUSES",
 }
-# the fact columns that refer to each dimension
-REFERENCES = {
-    "customers": ["CUSTOMER_ID"],
-    "services": ["SERVICE_ID"],
-    "pos": ["SENDING_POS_CODE", "RECEIVING_POS_CODE"],
-    "statuses": ["STATUS_ID"],
-}
+REFERENCES = gold.REFERENCES
 
 
 @dataclass(frozen=True)
@@ -131,19 +125,6 @@ def difference(old: DataFrame, new: DataFrame, run: int) -> tuple[DataFrame, Dat
     return numbered, both.filter("now IS NULL").select("was.*")
 
 
-def touched_facts(facts: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
-    """Facts of which any of these columns holds one of the keys given for it.
-
-    Each is a left join with distinct keys, whose side is broadcast or shuffled by its size at run time.
-    """
-    marked, hit = facts, F.lit(False)
-    for i, (column, wanted) in enumerate(keys.items()):
-        mark = wanted.select(F.col(wanted.columns[0]).alias(f"_k{i}")).distinct().withColumn(f"_m{i}", F.lit(True))
-        marked = marked.join(mark, F.col(column) == F.col(f"_k{i}"), "left")
-        hit = hit | F.coalesce(F.col(f"_m{i}"), F.lit(False))
-    return marked.filter(hit).select(*facts.columns)
-
-
 def deleted_keys(log: DataFrame, keys: list[str], bound: int | None) -> DataFrame:
     """Keys with a delete since the bound and no current version; the few deletes prune the versions read."""
     deletes = log.filter((F.col("op") == DELETE_OP) & _since(bound)).select(*keys).distinct()
@@ -200,7 +181,7 @@ def run_gold(
             touched = log[part].filter(_since(bounds[part])).select(*registry[SILVER[part]])
             keys |= {column: touched for column in REFERENCES.get(part, [])}
         facts = spark.read.parquet(marts.fact).drop(MONTH)
-        rows = _monthly(gold.wide_bookings(touched_facts(facts, keys), dims)).withColumn(RUN, F.lit(run).cast("long"))
+        rows = _monthly(gold.wide_bookings(gold.touched_facts(facts, keys), dims)).withColumn(RUN, F.lit(run).cast("long"))
         rows = stage(rows, "changed-bookings")
         old = spark.read.parquet(marts.wide)
         places = rows.select(*key, F.col(MONTH).alias("_month"))

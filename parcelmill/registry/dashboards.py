@@ -33,6 +33,30 @@ for _name in dashboards.CHARTS:
     _register_chart(_name)
 
 
+def _tiles_sql() -> str:
+    """Each chart as its own query, one under the other."""
+    parts = []
+    for name, spec in dashboards.CHARTS.items():
+        column = SHIPMENTS.dimensions[spec.groupby[0]] if spec.groupby else None
+        member = f"CAST({column} AS VARCHAR)" if column else "CAST(NULL AS VARCHAR)"
+        label = f"'{spec.groupby[0]}'" if column else "CAST(NULL AS VARCHAR)"
+        one = f"SELECT {member} AS member, {measures_sql(*spec.metrics)} FROM obt" + (f" GROUP BY {column}" if column else "")
+        if spec.limit:
+            order = ", ".join(f'"{c}" {"ASC" if asc else "DESC"}' for c, asc in spec.order).replace('"sendingProvince"', "member")
+            one += f" ORDER BY {order} LIMIT {spec.limit}"
+        parts += [
+            f"""SELECT '{name}' AS tile, {label} AS dimension, member, '{m}' AS metric, CAST("{m}" AS DOUBLE) AS value FROM ({one}) t"""
+            for m in spec.metrics
+        ]
+    return obt(" UNION ALL ".join(parts))
+
+
+@query("dash_all_tiles", _tiles_sql())
+def _(spark, sf):
+    """Every chart of one dimension or none, from one scan of the booking table."""
+    return dashboards.all_tiles(stored_wide(spark, sf))
+
+
 @query(
     "dash_trend_daily",
     obt(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmill import session
@@ -164,20 +164,15 @@ def _(spark, sf):
     return wide(spark, sf, domain.verified_customers(spark, sf))
 
 
-def _early(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, gold.Dims]:
-    """The table as of the first load, and the inputs of the second. Customers changed since the
-    first load were not known to it."""
+def _early(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, gold.Dims, dict[str, Column]]:
+    """The table as of the first load, the inputs of the second, and how far the first had read each of them. Customers
+    changed since the first load were not known to it."""
     facts, dims = stored_fact(spark, sf), gold_dims(spark, sf)
-    known = dims.customers.filter(F.col("ingested_at") < SPLIT)
-    old_dims = gold.Dims(known, dims.services, dims.pos, dims.statuses)
-    first = gold.wide_bookings(facts.filter(F.col("ingested_at") < SPLIT), old_dims)
-    return session.stage(first, "obt-first"), facts, dims
-
-
-_FIRST_BOUND = """SELECT max(greatest(f.ingested_at, c.ingested_at, TIMESTAMP '1995-01-01')) AS bound
-FROM bookings f LEFT JOIN (SELECT * FROM dim_customers WHERE ingested_at < TIMESTAMP '2000-01-01') c
-     ON f.CUSTOMER_ID = c.CUSTOMER_ID
-WHERE f.ingested_at < TIMESTAMP '2000-01-01'"""
+    read = {"bookings": facts, **{part: getattr(dims, part) for part in gold.REFERENCES}}
+    read |= {part: read[part].filter(F.col("ingested_at") < SPLIT) for part in ("bookings", "customers")}
+    old_dims = gold.Dims(**{part: read[part] for part in gold.REFERENCES})
+    first = gold.wide_bookings(read["bookings"], old_dims)
+    return session.stage(first, "obt-first"), facts, dims, {part: gold.stamp_bound(rows) for part, rows in read.items()}
 
 
 @query(
@@ -185,20 +180,20 @@ WHERE f.ingested_at < TIMESTAMP '2000-01-01'"""
     with_(
         "bookings dim_customers",
         """SELECT BOOKING_ID FROM bookings
-WHERE ingested_at > (SELECT bound FROM first_bound)
-   OR CUSTOMER_ID IN (SELECT CUSTOMER_ID FROM dim_customers WHERE ingested_at > (SELECT bound FROM first_bound))""",
-        first_bound=_FIRST_BOUND,
+WHERE ingested_at > (SELECT max(ingested_at) FROM bookings WHERE ingested_at < TIMESTAMP '2000-01-01')
+   OR CUSTOMER_ID IN (SELECT CUSTOMER_ID FROM dim_customers
+                      WHERE ingested_at > (SELECT max(ingested_at) FROM dim_customers WHERE ingested_at < TIMESTAMP '2000-01-01'))""",
     ),
 )
 def _(spark, sf):
-    first, facts, dims = _early(spark, sf)
-    return gold.affected_facts(facts, dims, gold.stamp_bound(first)).select("BOOKING_ID")
+    _, facts, dims, bounds = _early(spark, sf)
+    return gold.affected_facts(facts, dims, bounds).select("BOOKING_ID")
 
 
 @query("gold_obt_incremental", obt(f"SELECT {OBT_OUT} FROM obt"))
 def _(spark, sf):
-    first, facts, dims = _early(spark, sf)
-    return gold.refresh_wide_bookings(first, facts, dims)
+    first, facts, dims, bounds = _early(spark, sf)
+    return gold.refresh_wide_bookings(first, facts, dims, bounds)
 
 
 @query(

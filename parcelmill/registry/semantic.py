@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from parcelmill.plans import domain
+from pyspark.sql import functions as F
+
+from parcelmill.plans import domain, warehouse
 from parcelmill.plans import semantic as layer
-from parcelmill.registry.base import query
+from parcelmill.registry.base import query, stored
 from parcelmill.registry.gold import stored_wide
 from parcelmill.registry.sql import obt, with_
 
@@ -59,6 +61,30 @@ for _key, _member in {
     _register_measure(_key, _member)
 
 
+@query(
+    "metric_unique_customers_approx",
+    obt(
+        """SELECT SENDING_REGION AS "sendingRegion", count(DISTINCT CUSTOMER_ID) AS exact, true AS "withinError"
+FROM obt WHERE BOOKING_DATE >= DATE '1996-01-01' AND BOOKING_DATE < DATE '1998-01-01' GROUP BY ALL"""
+    ),
+)
+def _(spark, sf):
+    """Customers of two years by region, from stored sketches of months and provinces, against the exact count."""
+    wide = stored_wide(spark, sf)
+
+    def write(path: str) -> None:
+        layer.customer_sketches(wide, warehouse.month(), ["sendingRegion", "sendingProvince"]).write.parquet(path)
+
+    sketches = spark.read.parquet(stored(spark, sf, "customer-sketches", write))
+    about = layer.unique_customers_approx(sketches.filter("booking_month BETWEEN 199601 AND 199712"), ["sendingRegion"])
+    years = wide.filter("BOOKING_DATE >= DATE'1996-01-01' AND BOOKING_DATE < DATE'1998-01-01'")
+    exact = layer.query(years, layer.SHIPMENTS, ["uniqueCustomers"], ["sendingRegion"]).withColumnRenamed("sendingRegion", "region")
+    off = F.abs(F.col("uniqueCustomersApprox") - F.col("uniqueCustomers"))
+    within = off <= F.greatest(F.lit(1.0), 2 * layer.SKETCH_ERROR * F.col("uniqueCustomers"))
+    both = about.join(exact, F.col("sendingRegion").eqNullSafe(F.col("region")))
+    return both.select("sendingRegion", F.col("uniqueCustomers").alias("exact"), within.alias("withinError"))
+
+
 @query("metric_shifts", with_("driver_shifts", 'SELECT count(*) AS "totalShifts" FROM driver_shifts'))
 def _(spark, sf):
     return layer.query(domain.driver_shifts(spark, sf), layer.DRIVER_SHIFTS, ["totalShifts"])

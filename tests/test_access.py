@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +46,18 @@ def ask(bases, permissions, user, measure="Shipments.totalBookings"):
     return {r[0]: r[1] for r in rows}
 
 
+def test_the_latest_of_several_permission_rows_counts(spark):
+    kind = "username string, role string, province_access array<string>, updated_at timestamp"
+    rows = [
+        ("ann", "ADMIN", ["ALL"], datetime(2024, 1, 1)), ("ann", "REGIONAL_MANAGER", ["P1"], datetime(2024, 3, 1)),
+        ("ann", "DRIVER", ["P2"], datetime(2024, 2, 1)), ("bob", "ADMIN", None, None), ("bob", "GUEST", None, datetime(2020, 1, 1)),
+    ]
+    for shuffled in (rows, rows[::-1]):
+        table = spark.createDataFrame(shuffled, kind).repartition(3)
+        assert security.lookup(table, "ann") == security.Access("ann", "REGIONAL_MANAGER", ("P1",))
+        assert security.lookup(table, "bob").role == "GUEST"
+
+
 def test_roles(bases, permissions):
     everything = {"P0": 5, "P1": 5, "P2": 5, "P3": 5, None: 1}
     assert ask(bases, permissions, "admin") == everything

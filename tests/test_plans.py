@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from parcelmill import session
 from parcelmill.operators import history, merge
 from parcelmill.operators.dedup import latest_per_key
-from parcelmill.plans import domain
+from parcelmill.plans import dashboards, domain, semantic, warehouse
 from parcelmill.registry import QUERIES, cdc, gold
+from parcelmill.registry.gold import stored_wide
 from parcelmill.sinks import tables
 
 
@@ -19,6 +20,26 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_all_tiles_read_the_bookings_once(spark, sf):
+    tiles = dashboards.all_tiles(stored_wide(spark, sf))
+    plan = tiles._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Expand" in plan
+    one = {(r.tile, r.member): r.value for r in tiles.filter("tile IN ('region_revenue', 'kpi_margin')").collect()}
+    for r in dashboards.chart(stored_wide(spark, sf), "region_revenue").collect():
+        assert one["region_revenue", r.sendingRegion] == float(r.totalRevenue)
+    assert one["kpi_margin", None] == dashboards.chart(stored_wide(spark, sf), "kpi_margin").first()[0]
+
+
+def test_sketches_merge_without_counting_twice(spark, sf):
+    """Merged sketches of months estimate the customers of all of them, within the stated error."""
+    wide = stored_wide(spark, sf)
+    sketches = semantic.customer_sketches(wide, warehouse.month(), ["sendingRegion"])
+    assert sketches.count() > 50
+    about = semantic.unique_customers_approx(sketches).first()[0]
+    exact = wide.select("CUSTOMER_ID").distinct().count()
+    assert abs(about - exact) <= max(1, semantic.SKETCH_ERROR * exact)
+
+
 def test_metrics_read_only_their_columns(spark, sf):
     text = plan(QUERIES["metric_revenue"](spark, sf))
     assert "ReadSchema: struct<TOTAL_REVENUE:decimal(18,4)>" in text
@@ -57,7 +78,8 @@ def test_large_dimension_is_not_broadcast(spark, sf):
     try:
         text = plan(gold.gold.wide_bookings(facts, dims))
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
-        affected = plan(gold.gold.affected_facts(facts, dims, F.lit("2000-01-01").cast("timestamp_ntz")))
+        bound = F.lit("2000-01-01").cast("timestamp_ntz")
+        affected = plan(gold.gold.affected_facts(facts, dims, dict.fromkeys(["bookings", *gold.gold.REFERENCES], bound)))
         assert "BroadcastHashJoin" not in affected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
