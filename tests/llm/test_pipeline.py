@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.llm import queries, winnowing
+from parcelmill.llm import minhash, queries, winnowing
 from parcelmill.llm.quality import THRESHOLD, scores
 
 
@@ -108,6 +108,33 @@ def test_near_copies_of_changed_words(spark, sf):
     assert got == expected and 20 < len(expected) < 80
 
 
+def test_bitmaps_differ_no_more_than_sets():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 40, 700):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.int64))
+        b = np.unique(np.concatenate([a[n // 4 :], rng.integers(0, 2**63, n // 3, dtype=np.int64)]))
+        differ = sum(int(x).bit_count() for x in (minhash.folded(a) ^ minhash.folded(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and len(minhash.folded(a)) == minhash.FOLD // 64
+        assert n != 40 or differ > 0.8 * len(np.setxor1d(a, b))
+
+
+def test_open_nodes_meet_by_rare_shingles(spark):
+    """Sets of several components: every link is among the candidates, and hardly a pair that is none."""
+    rng = np.random.default_rng(11)
+    sets = []
+    for _ in range(6):
+        base = rng.integers(-(2**63), 2**63, 120, dtype=np.int64)
+        for lost in (0, 3, 8, 12, 30, 45, 60):
+            sets.append(np.unique(np.concatenate([base[lost:], rng.integers(-(2**63), 2**63, lost, dtype=np.int64)])))
+    known = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "node long, shingles binary")
+    open_ = known.select("node", F.col("node").alias("root"))
+    alike = {
+        (i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
+    }
+    found = {(r.u, r.v) for r in minhash._across(open_, known, 80).collect()}
+    assert alike <= found and len(found) < 2 * len(alike) and len(alike) > 15
+
+
 def test_one_row_of_shared_and_null_ids_stays(spark, sf):
     text = " ".join(f"plain{i} words{i * 7 % 31}" for i in range(300))
     other = " ".join(f"some{i} text{i * 5 % 29}" for i in range(300))
