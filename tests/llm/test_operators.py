@@ -52,7 +52,7 @@ def test_no_rows(none, spark):
     results = [
         personal.digest_rows(personal.personal_data(none)), simhash.near_duplicates(none), substrings.without_repeats(none),
         backoff.scores(none, F.lit(True)), licences.licences(none), quality.scores(none, quality.train(none, labels, F.lit(True))),
-        winnowing.contamination(none, bench), exact.exact_duplicates(none), lines.clean_lines(none), packing.pack(none),
+        winnowing.contamination(none, bench), exact.exact_duplicates(none), lines.clean_runs(none), packing.pack(none),
         simhash.keep_one(none), winnowing.without_contaminated(none, bench),
     ]
     assert [df.count() for df in results] == [0] * len(results)
@@ -392,33 +392,21 @@ def test_frequent_digests_are_found():
 # --- 9: lines
 
 
-def test_clean_lines(docs):
+def test_clean_runs(docs):
     rows = sorted(set(pairs(docs)), key=lambda r: (r[0] is None, r[0] or 0))
-    first = {}
-    for d, text in rows:
-        cut = (text or "").encode().split(b"\n")
-        for a, b in lines.chunks(cut):
-            if b - a >= 2:
-                first.setdefault(b"\n".join(cut[a:b]), d)
-    expected = {}
-    for d, text in rows:
-        cut, out, own = (text or "").encode().split(b"\n"), [], set()
-        for a, b in lines.chunks(cut):
-            body = b"\n".join(cut[a:b])
-            if b - a < 2 or (first[body] == d and body not in own):
-                out += cut[a:b]
-            own.add(body)
-        expected[d, text] = (None if text is None else b"\n".join(out).decode(), 0 if text is None else len(cut), 0 if text is None else len(cut) - len(out))
-    got = lines.clean_lines(docs)
+    left = dict(zip(rows, without_runs([(d, t or "") for d, t in rows], 2)))
+    got = lines.clean_runs(docs)
     assert got.columns == [*docs.columns, "n_lines", "n_removed"]
-    same([(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()], [(d, *expected[d, t]) for d, t in pairs(docs)])
+    total = lambda t: 0 if t is None else t.count("\n") + 1
+    expected = [(d, None if t is None else b"\n".join(left[d, t]).decode(), total(t), 0 if t is None else total(t) - len(left[d, t])) for d, t in pairs(docs)]
+    same([(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()], expected)
 
 
-def test_clean_lines_clashing_columns(spark):
+def test_clean_runs_clashing_columns(spark):
     rows = [(d, "a b\nc\n" * 9, 5, 6, 7, "g") for d in (1, 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, uid int, _UID int, gone string")
-    same([(r.doc_id, r.n_lines) for r in lines.clean_lines(docs).collect()], [(1, 19), (2, 19)])
-    plain = lines.clean_lines(docs, counts=False)
+    same([(r.doc_id, r.n_lines) for r in lines.clean_runs(docs).collect()], [(1, 19), (2, 19)])
+    plain = lines.clean_runs(docs, counts=False)
     assert plain.schema == docs.schema
     assert all((r.n_lines, r.uid, r._UID, r.gone) == (5, 6, 7, "g") for r in plain.collect())
 
@@ -440,21 +428,48 @@ def without_runs(rows: list[tuple[int, str]], least: int) -> list[list[bytes]]:
     return out
 
 
-@pytest.mark.parametrize("least", [2, 3])
-def test_repeated_runs_go_whole(spark, least):
+@pytest.mark.parametrize("least, every", [(2, 4), (3, 4), (2, 1), (2, 10**9)])
+def test_repeated_runs_go_whole(spark, least, every):
     """Every line of every repeated run goes, with its head and tail, and no other; compared with all runs of lines."""
     rng = np.random.default_rng(7)
     texts = ["\n".join(f"line {x}" if x else "" for x in rng.zipf(1.3, rng.integers(1, 25)) % 40) for _ in range(60)]
     texts += ["a\na\na", "a\na\na\na\na", "p\nq\np\nq\np", "x\nhead\none\ntwo\ntail\ny", "z\nhead\none\ntwo\ntail\nw"]
     rows = list(enumerate(texts)) + [(None, texts[-1])]
     expected = without_runs(rows, least)
-    got = lines.clean_runs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), least=least).collect()
+    got = lines.clean_runs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), least=least, every=every).collect()
     same(
         [(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got],
         [(d, b"\n".join(x).decode(), t.count("\n") + 1, t.count("\n") + 1 - len(x)) for (d, t), x in zip(rows, expected)],
     )
 
 
+def test_chunks_that_repeat_send_their_windows_once(spark, tmp_path, monkeypatch):
+    """Copies of a passage add chunks, not windows, and go whole but for the first."""
+    passage = "\n".join(f"line {i * i % 9973}" for i in range(300))
+    docs = spark.createDataFrame([(d, passage) for d in range(40)], "doc_id long, text string").repartition(5)
+    sizes, stage = {}, lines.session.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(lines.session, "stage", counted)
+    got = {r.doc_id: r for r in lines.clean_runs(docs).collect()}
+    assert got[0].text == passage and all(got[d].text == "" and got[d].n_removed == 300 for d in range(1, 40))
+    cuts = len(lines.with_ends(lines.cut(passage), 2, lines.SPAN, lines.EVERY))
+    assert sizes["chunks"] == 40 * cuts and 299 <= sizes["windows"] < 299 + cuts
+
+
+def test_runs_in_long_texts(spark):
+    """A text of more than two megabytes, with runs that another has at other places."""
+    body = [f"{i} of the long text {i * 7919 % 100003}" for i in range(90000)]
+    other = ["new", *body[30000:30007], "own", *body[80000:80002], "last"]
+    docs = spark.createDataFrame([(1, "\n".join(body)), (2, "\n".join(other)), (3, body[5])], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.clean_runs(docs).collect()}
+    assert got[1][1] == 0 and len(got[1][0]) > 2 << 20 and got[2] == ("new\nown\nlast", 9) and got[3][1] == 0
+
+
 def test_runs_of_shared_and_null_ids(spark):
     rows = [(1, "a\nb\nc"), (1, "x\na\nb"), (None, "u\nv\nk"), (None, "u\nv\nl"), (None, None)]
     got = lines.clean_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
