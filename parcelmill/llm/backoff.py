@@ -15,6 +15,9 @@ training documents and answers each block. The block then holds the part of the
 reach, reads them left to right, carries the state along and adds up logarithms. Blocks and shards have fixed
 sizes, so their numbers grow with the corpus.
 
+A state depends on at most ``order - 1`` words, so a long text is read in stretches of ``STRETCH`` tokens side by side,
+each of which comes into its state by reading the ``order - 1`` tokens before it without counting them.
+
 Defined cases: tokens are runs without ASCII white space, A-Z in lower case, and one end token a text; a null
 or empty text is one end token; repeated rows count and are scored each; a null ``doc_id`` is hashed as empty
 text; with no training documents every probability is 1; other columns are ignored; no rows give no rows.
@@ -22,6 +25,8 @@ text; with no training documents every probability is 1; other columns are ignor
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +39,7 @@ ORDER = 2
 STRENGTH = 4.0
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 12 << 20  # of text for each shard of n-grams of one order
+STRETCH = 1024  # tokens
 END = np.uint64(0xD1B54A32D192ED03)
 
 QUESTION = "block int, gram int, shard int, keys binary, counts binary"
@@ -123,32 +129,103 @@ def _answers(asked: pa.Table) -> pa.Table:
     return pa.table({"block": asked["block"], "gram": asked["gram"], "shard": asked["shard"], "counts": pa.array([packed(counts[a:b]) for a, b in parts], pa.binary())})
 
 
+@dataclass(frozen=True)
+class Grams:
+    """The different n-grams of one order in a block."""
+
+    at: np.ndarray  # number of the n-gram that ends at each token, -1 where none does
+    counts: np.ndarray  # in training, of each n-gram
+    place: np.ndarray  # a token where it ends
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """State 0 is the empty history, which reads every token; weights are log10."""
+
+    tokens: int
+    arcs: np.ndarray  # state * tokens + token, ascending
+    target: np.ndarray
+    weight: np.ndarray
+    fail: np.ndarray  # the state that each state without an arc for a token fails over to
+    backoff: np.ndarray
+
+
+def automaton(levels: list[Grams], strength: float, n_total: int, n_distinct: int) -> Automaton:
+    """States, arcs and failure arcs of the n-grams of all orders, shortest first."""
+    tokens, states = len(levels[0].counts), 1
+    arcs, targets, weights, fails, backoffs = [], [], [], [np.zeros(1, np.int64)], [np.zeros(1)]
+    for n, grams in enumerate(levels, 1):
+        known, token = grams.counts > 0, levels[0].at[grams.place]
+        if n == 1:
+            source = suffix_state = np.zeros(tokens, np.int64)
+            weight, read = (grams.counts + 1.0) / (n_total + n_distinct + 1.0), np.ones(tokens, bool)
+        else:
+            shorter = levels[n - 2]
+            context, suffix = shorter.at[grams.place - 1], shorter.at[grams.place]
+            source, suffix_state = state[context], state[suffix]
+            weight, read = (grams.counts + strength * weight[suffix]) / (shorter.counts[context] + strength), known
+        if n < len(levels):
+            state = np.where(known, states + np.cumsum(known) - 1, 0)
+            states += int(known.sum())
+            fails.append(suffix_state[known])
+            backoffs.append(np.log10(strength / (grams.counts[known] + strength)))
+            target = state
+        else:
+            target = suffix_state
+        arcs.append((source * tokens + token)[read])
+        targets.append(target[read])
+        weights.append(np.log10(weight[read]))
+    arcs, targets, weights = (np.concatenate(x) for x in (arcs, targets, weights))
+    order = np.argsort(arcs)
+    return Automaton(tokens, arcs[order], targets[order], weights[order], np.concatenate(fails), np.concatenate(backoffs))
+
+
+def walk(model: Automaton, token: np.ndarray, first: np.ndarray, order: int, stretch: int = STRETCH) -> np.ndarray:
+    """Log-probability of each text, read from left to right; texts and their stretches go side by side."""
+    length = np.diff(first)
+    parts = -(-length // stretch)
+    text = np.repeat(np.arange(len(length)), parts)
+    start = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * stretch
+    begin, end = np.maximum(first[text], start - (order - 1)), np.minimum(start + stretch, first[text + 1])
+    longest = np.argsort(begin - end, kind="stable")
+    text, start, begin, shorter = text[longest], start[longest], begin[longest], (begin - end)[longest]
+    state, score = np.zeros(len(text), np.int64), np.zeros(len(text))
+    for t in range(-int(shorter[0]) if len(shorter) else 0):
+        live = int(np.searchsorted(shorter, -t))
+        here, now, gain, open_ = begin[:live] + t, state[:live], np.zeros(live), np.arange(live)
+        read = token[here]
+        while len(open_):
+            wanted = now[open_] * model.tokens + read[open_]
+            arc = np.minimum(np.searchsorted(model.arcs, wanted), len(model.arcs) - 1)
+            hit = model.arcs[arc] == wanted
+            done, arc, open_ = open_[hit], arc[hit], open_[~hit]
+            gain[done] += model.weight[arc]
+            now[done] = model.target[arc]
+            gain[open_] += model.backoff[now[open_]]
+            now[open_] = model.fail[now[open_]]
+        score[:live] += np.where(here >= start[:live], gain, 0.0)
+    return np.bincount(text, weights=score, minlength=len(length))
+
+
 def _score(docs: pa.Table, answers: pa.Table, order: int, shards: int, strength: float, n_total: int, n_distinct: int) -> pa.Table:
     stream, first = tokens(docs["text"])
     given: dict[tuple[int, int], np.ndarray] = {
         (g, s): unpacked(c) for g, s, c in zip(answers["gram"].to_pylist(), answers["shard"].to_pylist(), answers["counts"].to_pylist())
     }
-    state = np.zeros(len(stream), np.int64)  # how often the state before a token was seen
-    base = weight = None
-    known = np.zeros(len(stream), bool)
+    levels = []
     for n in range(1, order + 1):
         grams, last = ngrams(stream, first, n)
-        keys, inverse = np.unique(grams, return_inverse=True)
+        keys, place, inverse = np.unique(grams, return_index=True, return_inverse=True)
         by_shard, present, begin = _dealt(keys, shards)
         counts = np.zeros(len(keys), np.int64)
         for shard, a, b in zip(present.tolist(), begin[:-1], begin[1:]):
             counts[by_shard[a:b]] = given[n, shard]
-        seen = np.zeros(len(stream), np.int64)
-        seen[last] = counts[inverse]
-        if n == 1:
-            base = weight = (seen + 1.0) / (n_total + n_distinct + 1.0)
-            known = seen > 0
-        else:
-            context = state > 0  # else the arc is read in the state of a shorter suffix
-            weight = np.where(context, (seen + strength * weight) / (state + strength), weight)
-        # the state that is carried on to the next token of the same text
-        state = np.append(0, seen[:-1])
-        state[first[:-1]] = 0
+        at = np.full(len(stream), -1, np.int64)
+        at[last] = inverse
+        levels.append(Grams(at, counts, last[place]))
+    token, seen = levels[0].at, levels[0].counts
+    model = automaton(levels, strength, n_total, n_distinct)
+    base = np.log10((seen + 1.0) / (n_total + n_distinct + 1.0))
     held = np.logical_not(docs["train"].to_numpy())
     add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  no text is without its end token
     return pa.table(
@@ -156,10 +233,10 @@ def _score(docs: pa.Table, answers: pa.Table, order: int, shards: int, strength:
             "doc_id": docs["doc_id"].cast(pa.int64()),
             "held_out": pa.array(held),
             "n_tokens": pa.array(np.diff(first)),
-            "n_known": pa.array(add(known.astype(np.int64))),
+            "n_known": pa.array(add((seen > 0)[token].astype(np.int64))),
             "train_tokens": pa.array(np.full(len(held), n_total, np.int64)),
-            "base_score": pa.array(add(np.log10(base))),
-            "score": pa.array(add(np.log10(weight))),
+            "base_score": pa.array(add(base[token])),
+            "score": pa.array(walk(model, token, first, order)),
         }
     )
 

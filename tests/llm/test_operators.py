@@ -213,6 +213,40 @@ def test_scores(docs, order):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_automaton_walks(order):
+    """States, arcs and failures against the smoothed probabilities; stretches change nothing."""
+    rng = np.random.default_rng(order)
+    texts = [rng.zipf(1.4, n) % 30 for n in (1, 2, 5, 400, 90)]
+    stream, first = np.concatenate(texts).astype(np.uint64), np.cumsum([0, *map(len, texts)])
+    taught = [t[: len(t) // 2].tolist() for t in texts]
+    seen = Counter(tuple(t[i : i + n]) for t in taught for n in range(1, order + 1) for i in range(len(t) - n + 1))
+    levels = []
+    for n in range(1, order + 1):
+        grams, last = backoff.ngrams(stream, first, n)
+        _, place, inverse = np.unique(grams, return_index=True, return_inverse=True)
+        at = np.full(len(stream), -1)
+        at[last] = inverse
+        counts = [seen[tuple(stream[p - n + 1 : p + 1].astype(int).tolist())] for p in last[place]]
+        levels.append(backoff.Grams(at, np.array(counts), last[place]))
+    total, distinct = sum(map(len, taught)), sum(len(k) == 1 for k in seen)
+    model = backoff.automaton(levels, 4.0, total, distinct)
+    assert len(model.fail) == 1 + sum(len(k) < order for k in seen)  # each known shorter n-gram is a state, and the empty one
+    expected = []
+    for t in texts:
+        score = 0.0
+        for i, w in enumerate(t.tolist()):
+            p = (seen[(w,)] + 1) / (total + distinct + 1)
+            for k in range(1, min(order, i + 1)):
+                h = tuple(t[i - k : i].tolist())
+                if seen[h]:
+                    p = (seen[(*h, w)] + 4 * p) / (seen[h] + 4)
+            score += math.log10(p)
+        expected.append(score)
+    for stretch in (1, 3, 64, 1024):
+        assert backoff.walk(model, levels[0].at, first, order, stretch) == pytest.approx(expected, rel=1e-9)
+
+
 # --- 5: licences
 
 
