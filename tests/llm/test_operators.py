@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -308,10 +310,99 @@ the Free Software Foundation, either version 3 of the License, or
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
 License, v. 2.0. If a copy of the MPL was not distributed with this
 file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+""",
+    "LGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+""",
+    "GPL-2.0-only": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.
+""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted.
+""",
+    "Zlib": """Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+""",
+    "EPL-2.0": """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.
+   (See accompanying file LICENSE_1_0.txt or copy at
+         https://www.boost.org/LICENSE_1_0.txt)
 """,
 }
 
 
+def licence_rows() -> list[tuple[int, str, str]]:
+    """Each notice as it is, in comments, unwrapped and wrapped elsewhere; pairs of differently wrapped ones."""
+    out = []
+    for name, text in NOTICES.items():
+        blocks = [" ".join(b.split()) for b in text.split("\n\n")]
+        narrow = "\n\n".join(textwrap.fill(b, 31, break_long_words=False) for b in blocks)
+        shapes = [text, textwrap.indent(text, "// ", lambda line: True), textwrap.indent(text, " * "), "\n".join(blocks), narrow, narrow.replace("\n", "\r\n")]
+        out += [(f"{name}", shape) for shape in shapes]
+    names = list(NOTICES)
+    for one, other in zip(names, names[1:]):
+        flat = "\n".join(" ".join(b.split()) for b in NOTICES[one].split("\n\n"))
+        out += [(f"{one},{other}", f"{flat}\nsome words\n{NOTICES[other]}"), (f"{one},{other}", f"{NOTICES[other]}\nsome words\n{flat}")]
+    out += [("", t) for t in ("", "\n\n", "Released under the", "MIT License. " * 3, "xLicensed under CC BY 4.0.", "E Licensed L under CC BY 4.0.")]
+    return [(i, name, text) for i, (name, text) in enumerate(out)]
+
+
+def test_licences_however_wrapped(spark):
+    """Notices are known whatever their line ends, beside others of another wrapping, and DuckDB gives the same rows."""
+    rows = licence_rows()
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows] + [(None, None)], "doc_id long, text string")
+    got = licences.licences(docs).collect()
+    assert {r.doc_id: set(r.licences) for r in got if r.doc_id is not None} == {i: set(filter(None, name.split(","))) for i, name, _ in rows}
+    texts_table = docs.toPandas()
+    with duckdb.connect() as con:
+        con.register("documents", texts_table)
+        plain = con.execute(licences.oracle()).fetchall()
+    same([(r.doc_id, ",".join(r.sentence_ids), ",".join(r.licences)) for r in got], [(None if d is None or d != d else int(d), s, n) for d, s, n in plain])
+
+
 def test_published_notices(spark):
     """The notices as they are published, with their line ends."""
     rows = [(i, name, text) for i, (name, text) in enumerate(NOTICES.items())]
