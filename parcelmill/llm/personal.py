@@ -8,7 +8,7 @@ final score is high enough. Strings that look like a base form but fail its chec
 against the patterns around them and are never taken.
 
 Defined cases: a null text is empty and has no spans; positions are code points, ends exclusive; repeated rows
-each get a row and count as separate occurrences; a null ``doc_id`` is kept; other columns are ignored; no rows
+each get a row and count as separate occurrences, rows being known by 128 bits of id and text; a null ``doc_id`` is kept; other columns are ignored; no rows
 give no rows; a corpus without base spans discovers nothing.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from parcelmill import session
 from parcelmill.llm import tasks
+from parcelmill.llm.membership import row_id
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -132,7 +133,7 @@ def occurrences(text: str) -> list[tuple[str, str, int, int, list[str]]]:
     return out
 
 
-FOUND = "uid long, kind string, value string, start int, stop int, patterns array<string>"
+FOUND = "uid string, kind string, value string, start int, stop int, patterns array<string>"
 
 
 def _written(spans: list[tuple[str, int, int]]) -> str:
@@ -185,11 +186,10 @@ def _spans(docs: DataFrame) -> DataFrame:
         arrays = [batch["doc_id"].cast(pa.int64()), batch["uid"], pa.array(base, pa.list_(pa.struct(span))), pa.array(seen, pa.list_(pa.struct(full)))]
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "uid", "base", "seen"])
 
-    uid = F.xxhash64("doc_id", "text").alias("uid")
     return tasks.per_batch(
-        tasks.texts(docs).select("doc_id", uid, "text"),
+        tasks.texts(docs).select("doc_id", row_id().alias("uid"), "text"),
         each,
-        "doc_id long, uid long, base array<struct<kind:string,start:int,stop:int>>, "
+        "doc_id long, uid string, base array<struct<kind:string,start:int,stop:int>>, "
         "seen array<struct<kind:string,value:string,start:int,stop:int,patterns:array<string>>>",
     )
 
