@@ -200,11 +200,12 @@ def _prints(df: DataFrame, key: str, window: int, gram: int, short: list[int] |
                 lengths.append(np.full(len(place), length, np.int32))
                 prints.append(values.view(np.int64))
                 places.append((place - words.first[document[place]]).astype(np.int32))
-        empty = (np.zeros(0, own.dtype), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
-        arrays = [pa.array(np.concatenate([e, *x])) for e, x in zip(empty, (keys, lengths, prints, places))]
+        empty = (np.zeros(0, object), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int32())
+        arrays = [pa.array(np.concatenate([e, *x]), t) for e, x, t in zip(empty, (keys, lengths, prints, places), kinds)]
         return pa.RecordBatch.from_arrays(arrays, [key, "length", "print", "place"])
 
-    return tasks.per_batch(df, each, f"{key} long, length int, print long, place int")
+    return tasks.per_batch(df, each, f"{key} string, length int, print long, place int")
 
 
 def _digests(words: Words, spans: list[tuple[int, int]]) -> list[bytes]:
@@ -244,10 +245,10 @@ def _around(docs: DataFrame, window: int, gram: int) -> DataFrame:
             spans = sorted(spans)
             for column, values in zip(out, ([row] * len(spans), [i for i, _ in spans], [n for _, n in spans], _digests(words, spans))):
                 column += values
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["row", "start", "length", "digest"])
 
-    return tasks.per_batch(docs, each, "row long, start int, length int, digest binary")
+    return tasks.per_batch(docs, each, "row string, start int, length int, digest binary")
 
 
 def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
@@ -257,9 +258,9 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
     items makes no pairs; the windows around them then meet the items' windows by a 128-bit digest of the words.
     What a document gathers is bounded by its own words and by the items that it holds.
     """
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    docs = docs.withColumn("row", row_id())
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("None")).alias("item_id"), "text")
-    theirs = _prints(items.select(F.xxhash64("item_id").alias("item"), "text"), "item", window, gram, None)
+    theirs = _prints(items.select(F.col("item_id").alias("item"), "text"), "item", window, gram, None)
     theirs = session.stage(theirs.select("length", "print").distinct(), "item-prints")
     short = [r.length for r in theirs.filter(F.col("length") < window).select("length").distinct().collect()]
     ours = _prints(docs.select("row", "text"), "row", window, gram, sorted(short))
