@@ -19,7 +19,7 @@ from parcelmill.functions.shape import align_to, evolve_union
 from parcelmill.functions.times import between, normalize_epochs, to_utc
 from parcelmill.operators import control, dedup, history, merge, payload
 from parcelmill.plans import domain, medallion
-from parcelmill.registry.base import query, stored
+from parcelmill.registry.base import query, stored, whole_sums
 from parcelmill.registry.sql import with_
 from parcelmill.sinks import tables
 from parcelmill.sources import changes, lake
@@ -279,9 +279,8 @@ FROM messages GROUP BY 1""",
 )
 def _(spark, sf):
     classified, _ = payload.classify(users_bronze(spark, sf), KEYS, user_schema())
-    return classified.groupBy(F.coalesce("error_reason", F.lit("VALID")).alias("outcome")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("ts_ms").alias("sum_ms")
-    )
+    outcomes = classified.groupBy(F.coalesce("error_reason", F.lit("VALID")).alias("outcome"))
+    return whole_sums(outcomes, "ts_ms", "sum_ms")
 
 
 @query(

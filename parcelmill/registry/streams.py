@@ -9,7 +9,7 @@ from parcelmill import session
 from parcelmill.operators.history import public_history
 from parcelmill.plans import domain
 from parcelmill.plans.medallion import SilverTable
-from parcelmill.registry.base import query, stored
+from parcelmill.registry.base import query, stored, whole_sums
 from parcelmill.registry.cdc import HISTORY_SQL, KEYS, history_out, topics_bronze, topics_bronze_path, user_schema
 from parcelmill.registry.sql import with_
 from parcelmill.sinks import tables
@@ -35,7 +35,7 @@ FROM messages GROUP BY ALL""",
 
 
 def _by_topic(bronze: DataFrame) -> DataFrame:
-    return bronze.groupBy("kafka_topic", "op").agg(F.count(F.lit(1)).alias("n"), F.sum("ts_ms").alias("sum_ms"))
+    return whole_sums(bronze.groupBy("kafka_topic", "op"), "ts_ms", "sum_ms")
 
 
 @query(

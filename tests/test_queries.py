@@ -6,7 +6,7 @@ import pytest
 
 import checking
 from __spark_entry__ import entry, oracle_sql, queries
-from parcelmill.registry import QUERIES
+from parcelmill.registry import QUERIES, base
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +27,12 @@ def test_every_query_has_sql():
 def test_entry(spark):
     rows = entry(spark).collect()
     assert 0 < len(rows) <= 20
+
+
+def test_sums_beyond_a_long_stay_exact(spark):
+    """Sums of times in milliseconds pass 64 bits at some millions of rows."""
+    rows = spark.createDataFrame([("a", 2**62), ("a", 2**62), ("a", 2**62 + 1), ("b", 5), ("c", None)], "g string, v long")
+    sums = base.edge(base.whole_sums(rows.groupBy("g"), "v", "s"))
+    assert sorted(map(tuple, sums.collect()), key=str) == [("a", 3, 3 * 2**62 + 1), ("b", 1, 5), ("c", 1, None)]
+    small = base.edge(base.whole_sums(rows.filter("g <> 'a'").groupBy("g"), "v", "s"))
+    assert small.schema["s"].dataType.simpleString() == "bigint"
