@@ -165,3 +165,56 @@ def test_hot_topic_is_split_by_the_rebalance(spark, tmp_path):
         spark.conf.unset(size)
     files = spark.read.parquet(f"{tmp_path}/t").inputFiles()
     assert sum("topic=hot" in f for f in files) > 1
+
+
+def test_lines_are_dealt_once(spark, sf):
+    """By order, for the last versions and the join with the orders; no sort of a whole split comes before."""
+    text = plan(domain.bookings(spark, sf))
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("l_orderkey" in line for line in dealt) and not any("l_linenumber" in line for line in dealt)
+    assert sum("l_orderkey" in line for line in dealt) == 1
+
+
+def test_small_dimensions_are_joined_after_the_layout(spark):
+    """Rows that are laid out carry no column of the small dimensions, and lose none of the result's."""
+    at = F.lit("2024-01-01").cast("timestamp_ntz")
+
+    def rows(columns: list[str]):
+        return spark.range(3).select(*[(at if c == "ingested_at" else F.col("id")).alias(c) for c in columns])
+
+    facts = rows(["BOOKING_ID", "ITEM_CODE", "BOOKING_DATE", "CUSTOMER_ID", "SERVICE_ID", "SENDING_POS_CODE", "RECEIVING_POS_CODE",
+                  "WEIGHT_GRAM", "MAIN_FEE", "SUR_FEE", "DISCOUNT_AMOUNT", "TOTAL_REVENUE", "COST_AMOUNT", "STATUS_ID", "CREATED_AT",
+                  "UPDATED_AT", "ingested_at"])
+    dims = gold.gold.Dims(**{name: rows(columns) for name, columns in gold.gold.DIM_COLUMNS.items()})
+    seen = []
+
+    def check(met):
+        seen.extend(met.columns)
+        return met.repartitionByRange("BOOKING_DATE")
+
+    laid, plain = gold.gold.wide_bookings(facts, dims, check), gold.gold.wide_bookings(facts, dims)
+    assert "CUSTOMER_NAME" in seen and not {"SERVICE_NAME", "SENDING_POS_NAME", "STATUS_NAME"} & set(seen)
+    assert laid.columns == plain.columns and sorted(laid.collect()) == sorted(plain.collect())
+
+
+def test_base_from_clustered_rows_is_sorted_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(200).select(
+        F.concat(F.lit("B"), F.col("id")).alias("BOOKING_ID"), F.date_add(F.lit("2024-01-01").cast("date"), (199 - F.col("id")).cast("int")).alias("BOOKING_DATE")
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    warehouse.write_base(spark.read.parquet(f"{tmp_path}/in"), f"{tmp_path}/base", clustered=True)
+    base = spark.read.parquet(f"{tmp_path}/base")
+    assert sorted(base.select("BOOKING_ID", "BOOKING_DATE").collect()) == sorted(rows.collect())
+    assert len(base.inputFiles()) == base.select("booking_month").distinct().count()
+    for file in base.inputFiles():
+        days = [r["BOOKING_DATE"] for r in spark.read.parquet(file).coalesce(1).collect()]
+        assert days == sorted(days)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == kept
+
+
+def test_rejects_are_told_by_the_scan(spark, tmp_path):
+    spark.createDataFrame([("a", 1, 2), (None, 1, 2)], "BOOKING_ID string, BOOKING_DATE int, ingested_at int").write.parquet(f"{tmp_path}/w")
+    wide = spark.read.parquet(f"{tmp_path}/w")
+    assert "Or(" in plan(warehouse.rejects(wide)) and "IsNotNull(BOOKING_ID)" in plan(warehouse.loadable(wide))
+    assert [r["error_reason"] for r in warehouse.rejects(wide).collect()] == ["MISSING BOOKING_ID"]
