@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from parcelmill.functions.cdc import EPOCH_START
 from parcelmill.functions.times import to_utc
 from parcelmill.operators import control, history, payload
-from parcelmill.session import drop, stage, tune
+from parcelmill.session import drop, small_splits, stage, tune
 from parcelmill.sinks import tables
 
 
@@ -63,6 +63,11 @@ class BatchResult:
     history_rows: int = 0
 
 
+def parse_splits(spark: SparkSession):
+    """Settings for jobs that read messages: it is the parse that takes the time, so all cores should have a part of it."""
+    return small_splits(spark, least="1MB")
+
+
 def _observed(df: DataFrame, *metrics: Column) -> tuple[DataFrame, Observation]:
     """Metrics that are collected while ``df`` is written; nothing is counted in a pass of its own."""
     observation = Observation()
@@ -198,7 +203,7 @@ def run_medallion(
 
     chosen = [n for n in (registry if which.upper() == "ALL" else [which.upper()]) if n in registry]
     # tables are independent; side by side, a large one does not leave executors idle at its end
-    with ThreadPoolExecutor(max(1, min(parallel, len(chosen)))) as pool:
+    with parse_splits(spark), ThreadPoolExecutor(max(1, min(parallel, len(chosen)))) as pool:
         done = list(pool.map(inheritable_thread_target(spark)(process), chosen))
     records = [r for r in done if r is not None]
     if records:

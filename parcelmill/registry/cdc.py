@@ -41,7 +41,7 @@ def topics_bronze_path(spark: SparkSession, sf: str) -> str:
 
     def write(path: str) -> None:
         rows = changes.to_bronze(domain.change_messages(spark, sf, by_type=True), stamp())
-        tables.append_partitioned(rows, path, ["kafka_topic"])
+        tables.append_partitioned(rows, path, ["kafka_topic"], tables.LOG_GROUP)
 
     return stored(spark, sf, "bronze", write)
 

@@ -119,7 +119,7 @@ def _two_appends(spark, sf, name: str, first) -> medallion.Lake:
     def write(path: str) -> None:
         lake = lake_at(path)
         for part in (rows.filter(first), rows.filter(~first)):
-            tables.append(part, lake.bronze, ["kafka_topic"])
+            tables.append(part, lake.bronze, ["kafka_topic"], tables.LOG_GROUP)
             medallion.run_medallion(spark, lake, REGISTRY, schemas={n: user_schema() for n in REGISTRY})
 
     return lake_at(stored(spark, sf, name, write))

@@ -285,3 +285,30 @@ def test_rows_that_cannot_be_loaded_are_named(spark):
     assert sorted(r["error_reason"] for r in warehouse.rejects(rows).collect()) == [
         "MISSING BOOKING_DATE,ingested_at", "MISSING BOOKING_ID,BOOKING_DATE,ingested_at"
     ]
+
+
+def long_log(spark, rows=12_000):
+    """Bronze of one topic whose text packs badly, in one task."""
+    text = F.concat_ws("", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(i)), 256) for i in "abcd"])
+    image = F.struct(F.col("id").alias("ID"), text.alias("V"))
+    value = F.to_json(F.struct(F.lit("u").alias("op"), F.lit(1704067200000).alias("ts_ms"), image.alias("after")))
+    at = F.lit(datetime(2024, 1, 1))
+    log = spark.range(0, rows, 1, 1).select(
+        F.col("id").cast("string").alias("key"), value.alias("value"), F.lit("cdc.T").alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), at.alias("timestamp"),
+    )
+    return changes.to_bronze(log)
+
+
+def shares(rows):
+    """Rows by the task that has them and reads their text."""
+    found = rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("raw_value"))
+    return [r["n"] for r in found.collect()]
+
+
+def test_one_file_of_messages_is_parsed_by_several_tasks(spark, tmp_path):
+    """A log file has row groups that tasks read by themselves, though it is less than Spark gives to two tasks."""
+    tables.append(long_log(spark), f"{tmp_path}/log", ["kafka_topic"], tables.LOG_GROUP)
+    with medallion.parse_splits(spark):
+        parts = shares(spark.read.parquet(f"{tmp_path}/log").select("raw_value"))
+    assert sum(parts) == 12_000 and len(parts) > 1
