@@ -7,9 +7,12 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.plans import marts
+from parcelmill import session
+from parcelmill.plans import marts, medallion
+from parcelmill.registry import base
 from parcelmill.registry.marts import REGISTRY, refreshed_marts, stored_marts
 from parcelmill.sinks import tables
+from parcelmill.sources import changes
 
 
 def test_view_equals_gold(spark, sf):
@@ -112,3 +115,37 @@ def test_merge_deletes_and_drops_empty_partitions(spark, tmp_path):
     got = spark.read.parquet(path)
     assert sorted(map(tuple, got.select("k", "v", "p").collect())) == [(1, "z", 20), (2, "b", 10), (4, "d", 30)]
     assert kept <= set(got.inputFiles())
+
+
+def test_marts_leave_one_copy_of_silver_on_disk(spark, sf):
+    """Of Silver the current snapshots alone are left, and none of the tables that batches write aside."""
+    lake, _ = stored_marts(spark, sf)
+    jvm = spark.sparkContext._jvm
+    for name, keys in REGISTRY.items():
+        for path in (lake.table(name, keys).value, lake.table(name, keys).history):
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            names = [s.getPath().getName() for s in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)]
+            assert len([n for n in names if n.startswith("snapshot-")]) == 1
+            assert tables.read_snapshot(spark, path).count() > 0
+
+
+def test_a_later_batch_leaves_nothing_aside(spark, tmp_path, monkeypatch):
+    """The events of the reopened tails go once the versions derived from them are written."""
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"file://{tmp_path}/aside")
+    table = medallion.SilverTable(["ID"], f"{tmp_path}/value", f"{tmp_path}/history", f"{tmp_path}/dlq")
+    for n, state in enumerate(("a", "b", "c")):
+        row = '{"op":"u","ts_ms":%d,"before":null,"after":{"ID":1,"STATUS":"%s"}}' % (1_704_067_200_000 + n * 1000, state)
+        messages = spark.createDataFrame([("1", row, "cdc.T", 0, n)], "key string, value string, topic string, partition int, offset long")
+        batch = changes.to_bronze(messages.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")))
+        medallion.apply_batch(batch, table)
+    assert [r.STATUS for r in tables.read_snapshot(spark, table.history).orderBy("valid_from").collect()] == ["a", "b", "c"]
+    assert [r.STATUS for r in tables.read_snapshot(spark, table.value).collect()] == ["c"]
+    assert not [p for p in (tmp_path / "aside").glob("*/*")]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, sf):
+    """Settings of the jobs that write shared tables; they are as they were afterwards."""
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.parquet.compression.codec")
+    before, seen = [spark.conf.get(n) for n in names], []
+    base.stored(spark, sf, "settings-seen", lambda path: seen.append([spark.conf.get(n) for n in names]))
+    assert seen == [["true", "zstd"]] and [spark.conf.get(n) for n in names] == before
