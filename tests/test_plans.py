@@ -218,3 +218,36 @@ def test_rejects_are_told_by_the_scan(spark, tmp_path):
     wide = spark.read.parquet(f"{tmp_path}/w")
     assert "Or(" in plan(warehouse.rejects(wide)) and "IsNotNull(BOOKING_ID)" in plan(warehouse.loadable(wide))
     assert [r["error_reason"] for r in warehouse.rejects(wide).collect()] == ["MISSING BOOKING_ID"]
+
+
+def test_partition_merge_deals_only_new_rows(spark, tmp_path, monkeypatch):
+    """Old rows are met by the keys that are replaced, not by the new rows, and aren't dealt by partition again."""
+    path, staged = str(tmp_path / "t"), {}
+    old = spark.range(200).select(F.col("id").alias("ID"), (F.col("id") % 4).cast("int").alias("P"), F.lit("old").alias("V"))
+    tables.append_partitioned(old, path, ["P"])
+
+    def kept(df, label, keep=tables.stage):
+        out = keep(df, label)
+        staged[label] = (df.inputFiles(), df._jdf.queryExecution().logical().toString(), out.count())
+        return out
+
+    monkeypatch.setattr(tables, "stage", kept)
+    new = spark.createDataFrame([(1, 2, "new"), (500, 7, "new"), (None, 2, "new")], "ID long, P int, V string")
+    gone = spark.createDataFrame([(i,) for i in range(0, 200, 4)] + [(None,)], "ID long")
+    tables.merge_partitions(new, path, ["ID"], "P", gone)
+    got = sorted((r.ID is None, r.ID or 0, r.P, r.V) for r in spark.read.parquet(path).collect())
+    expected = [(False, i, i % 4, "old") for i in range(200) if i % 4 and i != 1] + [(False, 1, 2, "new"), (False, 500, 7, "new"), (True, 0, 2, "new")]
+    assert got == sorted(expected)
+    assert not (tmp_path / "t" / "P=0").exists()
+    files, plan, _ = staged["merge-rows"]
+    assert any("/replaced-" in f for f in files) and "rebalance" not in plan.lower()
+    assert staged["replaced"][2] == 51
+
+
+def test_partition_merge_deals_many_small_files_anew(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(12):
+        tables.append(spark.createDataFrame([(k, 0, "old")], "ID long, P int, V string").coalesce(1), path, ["P"])
+    tables.merge_partitions(spark.createDataFrame([(3, 0, "new")], "ID long, P int, V string"), path, ["ID"], "P")
+    rows = spark.read.parquet(path)
+    assert len(rows.inputFiles()) == 1 and sorted((r.ID, r.V) for r in rows.collect()) == [(k, "new" if k == 3 else "old") for k in range(12)]
