@@ -251,3 +251,24 @@ def test_partition_merge_deals_many_small_files_anew(spark, tmp_path):
     tables.merge_partitions(spark.createDataFrame([(3, 0, "new")], "ID long, P int, V string"), path, ["ID"], "P")
     rows = spark.read.parquet(path)
     assert len(rows.inputFiles()) == 1 and sorted((r.ID, r.V) for r in rows.collect()) == [(k, "new" if k == 3 else "old") for k in range(12)]
+
+
+def test_lines_are_shuffled_as_they_were_read(spark, sf):
+    """Amounts are computed above all joins, so that no shuffle carries them."""
+    plan = domain.bookings(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert "BK-" in above and plan.count("0.65") == above.count("0.65") > 0
+
+
+def test_ranges_of_the_booking_table_follow_its_bytes(spark, sf, tmp_path, monkeypatch):
+    """Not the session's shuffle partitions, of which one may hold more rows than a task can sort in memory."""
+    known = stored_wide(spark, sf)
+    monkeypatch.setattr(gold, "RANGE_BYTES", 1 + session.input_bytes(spark, gold.stored_fact_path(spark, sf)) // 9)
+    monkeypatch.setattr(gold, "stored", lambda spark, sf, name, write, keep=gold.stored: _fresh(write, tmp_path) if name == "gold-obt" else keep(spark, sf, name, write))
+    rows = spark.read.parquet(gold.stored_wide_path(spark, sf))
+    assert len(rows.inputFiles()) == 9 and rows.count() == known.count() and rows.exceptAll(known).isEmpty()
+
+
+def _fresh(write, tmp_path):
+    write(str(tmp_path / "obt"))
+    return str(tmp_path / "obt")
