@@ -14,6 +14,7 @@ from parcelmill.plans import medallion, warehouse
 from parcelmill.schemas import CHANGE_MESSAGE
 from parcelmill.sinks import tables
 from parcelmill.sources import changes, jdbc, lake
+from parcelmill.streaming import silver
 from parcelmill.streaming.bronze import write_bronze
 
 REGISTRY = {"T": ["ID"], "U": ["A", "B"]}
@@ -312,3 +313,13 @@ def test_one_file_of_messages_is_parsed_by_several_tasks(spark, tmp_path):
     with medallion.parse_splits(spark):
         parts = shares(spark.read.parquet(f"{tmp_path}/log").select("raw_value"))
     assert sum(parts) == 12_000 and len(parts) > 1
+
+
+def test_stream_parses_by_small_splits(spark, tmp_path, monkeypatch):
+    """The batches of a Silver stream are cut as those of a run are, so that all cores parse a part."""
+    seen, table = [], medallion.SilverTable(["ID"], f"{tmp_path}/v", f"{tmp_path}/h", f"{tmp_path}/d")
+    monkeypatch.setattr(silver, "apply_batch", lambda batch, table, schema: seen.append(batch.sparkSession.conf.get("spark.sql.files.openCostInBytes")))
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    silver.write_silver(spark.readStream.schema("id long").parquet(f"{tmp_path}/in"), table, f"{tmp_path}/c").awaitTermination()
+    assert seen == ["1MB"] and spark.conf.get("spark.sql.files.openCostInBytes") == before
