@@ -16,7 +16,7 @@ def write_silver(
 
     A micro-batch that is run again after a failure changes nothing, because both targets are
     idempotent; the sink therefore needs no batch bookkeeping of its own. The query keeps the settings of the session
-    that it was started with, so its batches are parsed by all cores.
+    that it was started with, so its batches are cut into as small splits as those of a run; a small file still makes few.
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
