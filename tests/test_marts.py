@@ -149,3 +149,46 @@ def test_stored_tables_leave_no_shuffle_files(spark, sf):
     before, seen = [spark.conf.get(n) for n in names], []
     base.stored(spark, sf, "settings-seen", lambda path: seen.append([spark.conf.get(n) for n in names]))
     assert seen == [["true", "zstd"]] and [spark.conf.get(n) for n in names] == before
+
+
+def _staged(monkeypatch, module):
+    """Label and plan of each table that the module writes aside."""
+    seen = []
+
+    def kept(df, label, keep=module.stage):
+        seen.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df, label)
+
+    monkeypatch.setattr(module, "stage", kept)
+    return seen
+
+
+def test_a_dealt_table_is_merged_as_it_is(spark, tmp_path, monkeypatch):
+    """New rows that are written aside already aren't written again, and partitions that lose all their rows aren't read."""
+    path = f"{tmp_path}/t"
+    tables.append(spark.createDataFrame([(1, "a", 10), (2, "b", 10), (3, "c", 20), (4, "d", 20), (5, "e", None)], "k int, v string, p int"), path, ["p"])
+    new = session.stage(spark.createDataFrame([(1, "x", 10), (2, "y", 30), (3, "z", 20), (5, "n", None)], "k int, v string, p int"), "new")
+    seen = _staged(monkeypatch, tables)
+    tables.merge_partitions(new, path, ["k"], "p", dealt=True)
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "x", 10), (2, "y", 30), (3, "z", 20), (4, "d", 20), (5, "n", None)]
+    assert [label for label, _ in seen] == ["replaced", "merge-rows"]
+    filters = dict(seen)["merge-rows"].split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "20" in filters and "10" not in filters and "isnull" not in filters
+    assert new.count() == 4
+
+
+def test_a_load_writes_nothing_aside(spark, sf, monkeypatch):
+    _, out = stored_marts(spark, sf)
+    copy = dataclasses.replace(out, warehouse=f"{out.warehouse}-direct")
+    seen = _staged(monkeypatch, marts)
+    assert marts.load_warehouse(spark, copy) == [1, 2] and not seen
+    assert marts.current_bookings(spark, copy).count() == spark.read.parquet(out.wide).count()
+
+
+def test_marks_of_an_attempt_before_are_kept_once(spark, tmp_path):
+    out = marts.Marts(f"{tmp_path}/gold", f"{tmp_path}/warehouse")
+    rows = lambda *keys: spark.createDataFrame([(k, 1, "v") for k in keys], "BOOKING_ID string, booking_month int, V string")
+    for run, keys in ((2, "ab"), (3, "cd"), (3, "de")):
+        marts._write_marks(rows(*keys), out, run)
+    assert sorted((r.BOOKING_ID, r.gold_run) for r in spark.read.parquet(out.left).collect()) == [("a", 2), ("b", 2), ("c", 3), ("d", 3), ("e", 3)]
