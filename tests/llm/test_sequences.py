@@ -254,3 +254,11 @@ def test_pieces_are_the_blocks(strange):
         assert 0 <= p.skip and p.skip + p.words <= p.size
         filled[p.position] += p.words
     assert {p: n for p, n in limits.items() if n} == {p: n for p, n in filled.items() if n}
+
+
+def test_a_phrase_worker_hands_back_what_a_group_took(monkeypatch):
+    from parcelmill.llm import phrases
+
+    seen, rows = [], object()
+    monkeypatch.setattr(phrases.tasks, "release", lambda: seen.append(1))
+    assert phrases._released(rows) is rows and seen == [1]
